@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from tidemark.checks import views
-from tidemark.checks.views import rounded, sql
+from tidemark.checks.views import rnd, rounded, sql
 from tidemark.operators import macro as macro_ops
 from tidemark.operators.series import (
     add_blocks,
@@ -49,7 +49,7 @@ def register(name, text=None):
 
 def _r(column: str, alias: str | None = None) -> str:
     alias = alias or column
-    return f"round({column}, {DIGITS.get(alias, 6)}) AS {alias}"
+    return f"{rnd(column, DIGITS.get(alias, 6))} AS {alias}"
 
 
 def _full(agg: str, x: str, n: int, least: int | None = None) -> str:
@@ -191,15 +191,14 @@ def rsi(spark, sf):
 @register(
     "w6_relative_strength",
     sql(_full_windows(f"""SELECT symbol, date, {_r("return_1d")},
-        round(return_1d - avg(return_1d) OVER (PARTITION BY sector, date), 6)
-            AS rel_strength_sector FROM g"""), "prices"),
+        {rnd("return_1d - avg(return_1d) OVER (PARTITION BY sector, date)")} AS rel_strength_sector FROM g"""), "prices"),
 )
 def relative_strength(spark, sf):
     prices = views.prices(spark, sf)
     layout = views.price_layout(spark, sf)
     rows = latest_returns(prices, "date", ["sector"], layout)
     out = with_relative_strength(rows, prices, "date", layout)
-    return rounded(out.select("symbol", "date", "return_1d", "rel_strength_sector"), 6)
+    return rounded(out.select("symbol", "date", "return_1d", "rel_strength_sector"), DIGITS)
 
 
 @register(
@@ -207,8 +206,8 @@ def relative_strength(spark, sf):
     sql(_RECURSION + _full_windows(
         "SELECT g.symbol, g.date, g.asset_class, g.sector, round(g.close, 2) AS close, "
         + ", ".join(_r(f"{t}.{c}", c) for t, cs in (("g", PLAIN), ("s", SMOOTHED)) for c in cs)
-        + ", round(g.return_1d - avg(g.return_1d) OVER (PARTITION BY sector, g.date), 6)"
-          " AS rel_strength_sector FROM g JOIN s ON g.symbol = s.symbol AND g.date = s.date"),
+        + ", " + rnd("g.return_1d - avg(g.return_1d) OVER (PARTITION BY sector, g.date)")
+        + " AS rel_strength_sector FROM g JOIN s ON g.symbol = s.symbol AND g.date = s.date"),
         "prices", recursive=True),
 )
 def technical_features(spark, sf):
@@ -399,9 +398,9 @@ LEXICON_SQL = f"""
         " round(g.close, 2) AS close, "
         + ", ".join(_r(f"{t}.{c}", c) for t, cs in (("g", PLAIN), ("s", SMOOTHED)) for c in cs)
         + """, CASE WHEN g.asset_class = 'equity' THEN round(g.return_1d - avg(g.return_1d)
-             OVER (PARTITION BY g.asset_class, sector, g.date), 6) END AS rel_strength_sector, """
+             OVER (PARTITION BY g.asset_class, sector, g.date) + 2.5e-9, 6) END AS rel_strength_sector, """
         + ", ".join(f'round(m."{c}", 2) AS "{c}"' for c in _MACRO_OUT)
-        + ", " + ", ".join(f"coalesce(round(d.{c}, 6), 0) AS {c}"
+        + ", " + ", ".join(f"{rnd(f'coalesce(d.{c}, 0)')} AS {c}"
                            for c in news.SENTIMENT_COLUMNS)
         + """ FROM g JOIN s ON g.symbol = s.symbol AND g.date = s.date
               ASOF LEFT JOIN mf m ON g.date >= m.date
@@ -480,7 +479,7 @@ def mart_from(spark, sf):
         + "SELECT t.symbol, t.date, t.trade_count, t.asset_class, t.sector, t.industry, "
         + ", ".join(_r(f"t.{c}", c) for c in _MART_NUMBERS) + ", "
         + ", ".join(_r(f"m.{c}", c) for c in marts.MACRO_COLUMNS)
-        + """, coalesce(round(x.sentiment_net, 6), 0.0) AS sentiment_net FROM targets t
+        + """, round(coalesce(x.sentiment_net, 0.0) + 2.5e-9, 6) AS sentiment_net FROM targets t
         LEFT JOIN md m ON t.date = m.date
         LEFT JOIN mart_news x ON t.symbol = x.symbol AND t.date = x.date""",
         "prices", "macro", "articles"),

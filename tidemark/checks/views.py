@@ -53,20 +53,28 @@ def trades(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def bars(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """One OHLCV bar per supplier and ship day; partial aggregation before the shuffle."""
-    when = F.struct("l_orderkey", "l_linenumber", "l_partkey", "price")
+    """One OHLCV bar per supplier and ship day; partial aggregation before the shuffle.
+
+    The order inside a day is one number, so that Spark aggregates by hash; a struct would
+    make it sort all trades first."""
+    when = F.col("l_orderkey").cast("decimal(13,0)") * 10 + F.col("l_linenumber")
+    when = when * F.lit(10**11).cast("decimal(12,0)") + F.col("l_partkey").cast("decimal(11,0)")
+    when = when * F.lit(10**10).cast("decimal(11,0)") + F.floor(F.col("price") * 100)
     return (
         trades(spark, sf_dir)
-        .groupBy("symbol", "date")
+        .withColumn("when", when.cast("decimal(38,0)"))
+        .groupBy("l_suppkey", "date")
         .agg(
-            F.min_by("price", when).alias("open"),
+            F.min_by("price", "when").alias("open"),
             F.max("price").alias("high"),
             F.min("price").alias("low"),
-            F.max_by("price", when).alias("close"),
+            F.max_by("price", "when").alias("close"),
             F.sum("quantity").alias("volume"),
             (F.floor(F.sum("amount") / F.sum("quantity")) / 100).alias("vwap"),
             F.count(F.lit(1)).alias("trade_count"),
         )
+        .withColumn("symbol", F.col("l_suppkey").cast("string"))
+        .select("symbol", "date", "open", "high", "low", "close", "volume", "vwap", "trade_count")
     )
 
 
@@ -238,10 +246,23 @@ def sql(body: str, *views: str, recursive: bool = False) -> str:
     return f"{word}{heads} {body}" if heads else body
 
 
-def rounded(df: DataFrame, digits: int | dict[str, int] = 6, **more: int) -> DataFrame:
+def nudge(digits: int) -> float:
+    """Less than the last digit, more than rounding noise: moves exact halves off the edge, which
+    the engines would otherwise round by different rules."""
+    return 2.5 * 10.0 ** -(digits + 3)
+
+
+def rnd(expression: str, digits: int = 6) -> str:
+    return f"round({expression} + {nudge(digits)}, {digits})"
+
+
+def rounded_col(c: str | Column, digits: int = 6) -> Column:
+    return F.round((F.col(c) if isinstance(c, str) else c) + F.lit(nudge(digits)), digits)
+
+
+def rounded(df: DataFrame, digits: int | dict[str, int] = 6) -> DataFrame:
     """Round doubles, as the two engines add in different orders."""
     rules = digits if isinstance(digits, dict) else {}
     default = digits if isinstance(digits, int) else 6
-    rules = {**rules, **more}
     doubles = [f.name for f in df.schema.fields if f.dataType.typeName() == "double"]
-    return df.withColumns({c: F.round(c, rules.get(c, default)) for c in doubles})
+    return df.withColumns({c: rounded_col(c, rules.get(c, default)) for c in doubles})

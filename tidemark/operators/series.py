@@ -19,8 +19,8 @@ from tidemark.scale import broadcast_if_small, global_position
 MAX_SERIES_ROWS = 1_000_000
 SEGMENT_ROWS = 65_536
 EWM_BLOCK = 2_048
-# exp(-745) is the smallest positive double: older terms of a decaying sum vanish exactly
-UNDERFLOW = 745.0
+# a weight of 1e-60 changes no double, as long as values stay within 40 orders of magnitude
+NEGLIGIBLE = 60.0 * math.log(10.0)
 
 _SEGMENT, _CORE, _POS = "_segment", "_core", "_pos"
 
@@ -91,6 +91,48 @@ def full_window(agg: Column, x: Column, frame, min_rows: int) -> Column:
     return F.when(F.count(x).over(frame) >= min_rows, agg.over(frame))
 
 
+# ---------------------------------------------------------------------------
+# long frames from short ones
+#
+# Spark walks every row of a moving frame again for each output row. Frames of 50 to 252 rows are
+# therefore put together from a short frame and a few lags of it, without any subtraction
+# that could cancel digits.
+# ---------------------------------------------------------------------------
+
+
+def _earlier(c: str, rows: int, w) -> Column:
+    return F.lag(c, rows).over(w) if rows else F.col(c)
+
+
+def chained_sum(short: str, step: int, n: int, w, partial: bool = False) -> Column:
+    """Sum of the last ``n`` rows from ``short``, the sum of the last ``step`` rows.
+
+    Null until the look-back is full (a null short sum spreads), unless ``partial``."""
+    parts = [_earlier(short, k, w) for k in range(0, n, step)]
+    if partial:
+        parts = [F.coalesce(p, F.lit(0.0)) for p in parts]
+    total = parts[0]
+    for part in parts[1:]:
+        total = total + part
+    return total
+
+
+def chained_extreme(pick, short: str, step: int, n: int, w) -> Column:
+    """``pick`` is ``F.least`` or ``F.greatest``; the pieces may overlap and may be missing."""
+    offsets = sorted({min(k, n - step) for k in range(0, n, step)})
+    return pick(*[_earlier(short, k, w) for k in offsets])
+
+
+def chained_deviation(mean: str, variance: str, step: int, n: int, w) -> Column:
+    """Sample deviation of ``n`` rows from means and sample variances of ``step`` rows."""
+    means = [_earlier(mean, k, w) for k in range(0, n, step)]
+    spreads = [_earlier(variance, k, w) * float(step - 1) for k in range(0, n, step)]
+    center = sum(means[1:], means[0]) / float(len(means))
+    between = [F.pow(m - center, 2) * float(step) for m in means]
+    total = sum(spreads[1:], spreads[0]) + sum(between[1:], between[0])
+    return F.sqrt(total / float(n - 1))
+
+
 # ---------------------------------------------------------------------------
 # exponentially weighted mean
 # ---------------------------------------------------------------------------
@@ -98,7 +140,7 @@ def full_window(agg: Column, x: Column, frame, min_rows: int) -> Column:
 
 def ewm_reach(alpha: float) -> int:
     """Rows after which an old value no longer changes a double."""
-    return math.ceil(UNDERFLOW / -math.log1p(-alpha))
+    return math.ceil(NEGLIGIBLE / -math.log1p(-alpha))
 
 
 def add_blocks(
@@ -131,33 +173,30 @@ def ewm_means(
     along = Window.partitionBy(*parts).orderBy("_block", *order)
     slot = F.col("_slot").cast("double")
 
-    heads, tails, carried = {}, {}, {}
+    before = {f"_before_{x}": F.lag(x).over(along) for x, _ in specs.values()}
+    tails, carried, results = {}, {}, {}
     for out, (x, alpha) in specs.items():
         q = F.lit(1.0 - alpha)
-        seen = F.col(f"_seen_{out}")
-        weight = F.when(seen == 1, F.lit(1.0)).otherwise(F.lit(alpha))
+        weight = F.when(F.col(f"_before_{x}").isNull(), F.lit(1.0)).otherwise(F.lit(alpha))
         term = F.coalesce(weight * F.col(x) * F.pow(q, -slot), F.lit(0.0))
-        heads[f"_seen_{out}"] = F.count(x).over(
-            along.rowsBetween(Window.unboundedPreceding, 0)
-        )
         tails[f"_local_{out}"] = F.sum(term).over(running) * F.pow(q, slot)
-        depth = math.ceil(ewm_reach(alpha) / EWM_BLOCK)
         decay = (1.0 - alpha) ** EWM_BLOCK
         past = F.lit(0.0)
-        for k in range(depth):
-            past = past + F.coalesce(
-                F.lag(f"_local_{out}", 1 + k * EWM_BLOCK).over(along), F.lit(0.0)
-            ) * F.lit(decay**k)
+        for k in range(math.ceil(ewm_reach(alpha) / EWM_BLOCK)):
+            end = F.lag(f"_local_{out}", 1 + k * EWM_BLOCK).over(along)
+            past = past + F.coalesce(end, F.lit(0.0)) * F.lit(decay**k)
         carried[f"_carry_{out}"] = F.when(F.col("_slot") == 0, past)
-    df = df.withColumns(heads).withColumns(tails).withColumns(carried)
-    results = {}
-    for out, (x, alpha) in specs.items():
         carry = F.first(f"_carry_{out}").over(running)
-        results[out] = F.when(
-            F.col(f"_seen_{out}") > 0,
-            F.col(f"_local_{out}") + F.pow(F.lit(1.0 - alpha), slot + 1) * carry,
-        )
-    return df.withColumns(results).drop(*heads, *tails, *carried)
+        value = F.col(f"_local_{out}") + F.pow(q, slot + 1) * carry
+        results[out] = F.when(F.col(x).isNotNull(), value)
+    scratch = [*before, *tails, *carried]
+    return (
+        df.withColumns(before)
+        .withColumns(tails)
+        .withColumns(carried)
+        .withColumns(results)
+        .drop(*scratch)
+    )
 
 
 # ---------------------------------------------------------------------------

@@ -5,13 +5,16 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidemark.functions.scalars import guarded_ratio, ratio_or_zero
 from tidemark.operators.series import (
     Layout,
     add_blocks,
+    chained_deviation,
+    chained_extreme,
+    chained_sum,
     ewm_means,
     ewm_reach,
     full_window,
@@ -33,6 +36,14 @@ INDICATORS = (
 )
 
 
+# columns the indicators are built from
+_SCRATCH = {
+    "_std", "_seen", "_in_year", "_mean_r", "_var_r", "_std_r5", "_std_r60", "_low", "_high",
+    "_volume_10", "_volume_20", *[f"_{k}_{n}" for k in ("sum", "seen") for n in (10, 20, 50, 200)],
+    *[f"_{k}_{n}" for k in ("low", "high") for n in (16, 64)],
+}
+
+
 def change(later: Column, earlier: Column) -> Column:
     """Relative change; null where the base is zero or missing."""
     return F.try_divide(later, earlier) - 1.0
@@ -44,15 +55,6 @@ def returns(parts, order, spans=(1, 5, 20), close: str = "close") -> dict[str, C
     return {f"return_{n}d": change(c, F.lag(c, n).over(w)) for n in spans}
 
 
-def moving_averages(parts, order, spans=(20, 50, 200), full: bool = True) -> dict[str, Column]:
-    c = F.col("close")
-    out = {}
-    for n in spans:
-        frame = trailing(parts, order, n)
-        out[f"sma_{n}"] = full_window(F.avg(c), c, frame, n) if full else F.avg(c).over(frame)
-    return out
-
-
 def forward_targets(parts, order) -> dict[str, Column]:
     w = ordered(parts, order)
     c = F.col("close")
@@ -111,38 +113,64 @@ def technical_indicators(
 
     def compute(rows: DataFrame, parts: list[str], by: list[str]) -> DataFrame:
         c, v = F.col("close"), F.col("volume").cast("double")
-        month = trailing(parts, by, 20)
-        year = trailing(parts, by, YEAR_ROWS)
+        w = ordered(parts, by)
+        # the smoothing passes come first, while rows are narrow
+        rows = with_smoothed(rows, parts, by)
+        ten, sixteen = trailing(parts, by, 10), trailing(parts, by, 16)
+        seen = F.count(c).over(w.rowsBetween(Window.unboundedPreceding, 0))
         rows = rows.withColumns(
             {
-                **moving_averages(parts, by),
-                "_std": full_window(F.stddev_samp(c), c, month, 20),
                 **returns(parts, by),
-                "_volume_mean": full_window(F.avg(v), v, month, 20),
-                "_low": full_window(F.min(c), c, year, 20),
-                "_high": full_window(F.max(c), c, year, 20),
                 **forward_targets(parts, by),
+                "_sum_10": full_window(F.sum(c), c, ten, 10),
+                "_volume_10": full_window(F.sum(v), v, ten, 10),
+                "_low_16": F.min(c).over(sixteen),
+                "_high_16": F.max(c).over(sixteen),
+                "_std": full_window(F.stddev_samp(c), c, trailing(parts, by, 20), 20),
+                "_seen": seen,
             }
         )
-        r = F.col("return_1d")
-        deviation = {n: full_window(F.stddev_samp(r), r, trailing(parts, by, n), n)
-                     for n in (5, 20, 60)}
-        mid, std = F.col("sma_20"), F.col("_std")
+        r, month = F.col("return_1d"), trailing(parts, by, 20)
+        rows = rows.withColumns(
+            {
+                "_sum_20": chained_sum("_sum_10", 10, 20, w),
+                "_sum_50": chained_sum("_sum_10", 10, 50, w),
+                "_volume_20": chained_sum("_volume_10", 10, 20, w),
+                "_low_64": chained_extreme(F.least, "_low_16", 16, 64, w),
+                "_high_64": chained_extreme(F.greatest, "_high_16", 16, 64, w),
+                "_mean_r": full_window(F.avg(r), r, month, 20),
+                "_var_r": full_window(F.var_samp(r), r, month, 20),
+                "_std_r5": full_window(F.stddev_samp(r), r, trailing(parts, by, 5), 5),
+                "_in_year": F.col("_seen")
+                - F.coalesce(F.lag("_seen", YEAR_ROWS).over(w), F.lit(0)),
+            }
+        )
+        year_known = F.col("_in_year") >= 20
+        rows = rows.withColumns(
+            {
+                "sma_200": chained_sum("_sum_50", 50, 200, w) / 200.0,
+                "_low": chained_extreme(F.least, "_low_64", 64, YEAR_ROWS, w),
+                "_high": chained_extreme(F.greatest, "_high_64", 64, YEAR_ROWS, w),
+                "_std_r60": chained_deviation("_mean_r", "_var_r", 20, 60, w),
+            }
+        )
+        mid, std = F.col("_sum_20") / 20.0, F.col("_std")
+        low, high = F.col("_low"), F.col("_high")
         rows = rows.withColumns(
             {
-                "volatility_20d": deviation[20],
-                "vol_regime_ratio": guarded_ratio(deviation[5], deviation[60]),
+                "sma_20": mid,
+                "sma_50": F.col("_sum_50") / 50.0,
+                "volatility_20d": F.sqrt("_var_r"),
+                "vol_regime_ratio": guarded_ratio("_std_r5", "_std_r60"),
                 "bb_upper": mid + 2 * std,
                 "bb_lower": mid - 2 * std,
                 "bb_width": guarded_ratio((mid + 2 * std) - (mid - 2 * std), mid),
-                "volume_ratio": guarded_ratio(v, F.col("_volume_mean")),
-                "price_position_52w": guarded_ratio(
-                    c - F.col("_low"), F.col("_high") - F.col("_low")
-                ),
+                "volume_ratio": guarded_ratio(v, F.col("_volume_20") / 20.0),
+                "price_position_52w": F.when(year_known, guarded_ratio(c - low, high - low)),
                 "momentum_acceleration": F.col("return_5d") - F.col("return_20d"),
             }
-        ).drop("_std", "_volume_mean", "_low", "_high")
-        return with_smoothed(rows, parts, by)
+        )
+        return rows.drop(*[x for x in rows.columns if x in _SCRATCH])
 
     out = over_series(
         prices, compute, order=(order,), back=REACH, ahead=10, layout=layout
@@ -163,22 +191,40 @@ def mart_technicals(prices: DataFrame, layout: Layout | None = None) -> DataFram
         }
         rows = rows.withColumns(
             {
-                **moving_averages(parts, by, full=False),
-                "_std": F.stddev_samp(c).over(month),
                 **gap,
+                "_sum_10": F.sum(c).over(trailing(parts, by, 10)),
+                "_std": F.stddev_samp(c).over(month),
+                "_seen": F.count(c).over(w.rowsBetween(Window.unboundedPreceding, 0)),
                 "target_5d_return": F.try_divide(F.lead(c, 5).over(w) - c, c),
             }
         )
+        rows = rows.withColumns(
+            {
+                "_sum_20": chained_sum("_sum_10", 10, 20, w, partial=True),
+                "_sum_50": chained_sum("_sum_10", 10, 50, w, partial=True),
+                "volatility_20d": F.stddev_samp("return_1d").over(month),
+                "target_1d_return": F.lead("return_1d", 1).over(w),
+                **{
+                    f"_seen_{n}": F.col("_seen") - F.coalesce(F.lag("_seen", n).over(w), F.lit(0))
+                    for n in (20, 50, 200)
+                },
+            }
+        )
+        rows = rows.withColumn("_sum_200", chained_sum("_sum_50", 50, 200, w, partial=True))
+        rows = rows.withColumns(
+            {
+                f"sma_{n}": F.when(F.col(f"_seen_{n}") > 0, F.col(f"_sum_{n}") / F.col(f"_seen_{n}"))
+                for n in (20, 50, 200)
+            }
+        )
         mid, std = F.col("sma_20"), F.col("_std")
         return rows.withColumns(
             {
                 "bb_upper": mid + 2.0 * std,
                 "bb_lower": mid - 2.0 * std,
                 "bb_width": ratio_or_zero(4.0 * std, mid),
-                "volatility_20d": F.stddev_samp("return_1d").over(month),
-                "target_1d_return": F.lead("return_1d", 1).over(w),
             }
-        ).drop("_std")
+        ).drop(*[x for x in rows.columns if x in _SCRATCH])
 
     return over_series(prices, compute, back=200, ahead=5, layout=layout)
 
