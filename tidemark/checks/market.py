@@ -479,7 +479,7 @@ def mart_from(spark, sf):
         + "SELECT t.symbol, t.date, t.trade_count, t.asset_class, t.sector, t.industry, "
         + ", ".join(_r(f"t.{c}", c) for c in _MART_NUMBERS) + ", "
         + ", ".join(_r(f"m.{c}", c) for c in marts.MACRO_COLUMNS)
-        + """, round(coalesce(x.sentiment_net, 0.0) + 2.5e-9, 6) AS sentiment_net FROM targets t
+        + """, floor(coalesce(x.sentiment_net, 0.0) * 1e6 + 0.5025) / 1e6 AS sentiment_net FROM targets t
         LEFT JOIN md m ON t.date = m.date
         LEFT JOIN mart_news x ON t.symbol = x.symbol AND t.date = x.date""",
         "prices", "macro", "articles"),

@@ -4,9 +4,9 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from tidemark.checks import market
+from tidemark.checks import cleaning, market
 
-MODULES = (market,)
+MODULES = (market, cleaning)
 
 
 def queries() -> dict[str, Callable]:

@@ -253,11 +253,16 @@ def nudge(digits: int) -> float:
 
 
 def rnd(expression: str, digits: int = 6) -> str:
-    return f"round({expression} + {nudge(digits)}, {digits})"
+    scale = 10.0**digits
+    shift = 0.5 + nudge(digits) * scale
+    return f"floor(({expression}) * {scale} + {shift}) / {scale}"
 
 
 def rounded_col(c: str | Column, digits: int = 6) -> Column:
-    return F.round((F.col(c) if isinstance(c, str) else c) + F.lit(nudge(digits)), digits)
+    """Plain arithmetic, which is the same in both engines and much cheaper than ``round``."""
+    scale = 10.0**digits
+    x = F.col(c) if isinstance(c, str) else c
+    return F.floor(x * F.lit(scale) + F.lit(0.5 + nudge(digits) * scale)) / F.lit(scale)
 
 
 def rounded(df: DataFrame, digits: int | dict[str, int] = 6) -> DataFrame:

@@ -155,6 +155,21 @@ def add_blocks(
     )
 
 
+def decay_power(alpha: float, sign: int, slot: Column) -> Column:
+    """``(1 - alpha) ** (sign * slot)`` for a slot inside a block, from two short literal tables
+    (the built-in power runs in strict software arithmetic and would dominate the pass)."""
+    q = (1.0 - alpha) ** sign
+    fine, coarse = 64, EWM_BLOCK // 64
+
+    def pick(values: list[float], index: Column) -> Column:
+        table = F.expr("array(" + ", ".join(f"{v!r}D" for v in values) + ")")
+        return F.get(table, index)
+
+    low = pick([q**j for j in range(fine)], (slot % fine).cast("int"))
+    high = pick([q ** (fine * j) for j in range(coarse)], F.floor(slot / fine).cast("int"))
+    return low * high
+
+
 def ewm_means(
     df: DataFrame,
     specs: dict[str, tuple[str, float]],
@@ -171,15 +186,14 @@ def ewm_means(
     running = inside.rowsBetween(Window.unboundedPreceding, 0)
     # same sort order as above, so no further sort
     along = Window.partitionBy(*parts).orderBy("_block", *order)
-    slot = F.col("_slot").cast("double")
+    slot = F.col("_slot")
 
     before = {f"_before_{x}": F.lag(x).over(along) for x, _ in specs.values()}
     tails, carried, results = {}, {}, {}
     for out, (x, alpha) in specs.items():
-        q = F.lit(1.0 - alpha)
         weight = F.when(F.col(f"_before_{x}").isNull(), F.lit(1.0)).otherwise(F.lit(alpha))
-        term = F.coalesce(weight * F.col(x) * F.pow(q, -slot), F.lit(0.0))
-        tails[f"_local_{out}"] = F.sum(term).over(running) * F.pow(q, slot)
+        term = F.coalesce(weight * F.col(x) * decay_power(alpha, -1, slot), F.lit(0.0))
+        tails[f"_local_{out}"] = F.sum(term).over(running) * decay_power(alpha, 1, slot)
         decay = (1.0 - alpha) ** EWM_BLOCK
         past = F.lit(0.0)
         for k in range(math.ceil(ewm_reach(alpha) / EWM_BLOCK)):
@@ -187,7 +201,8 @@ def ewm_means(
             past = past + F.coalesce(end, F.lit(0.0)) * F.lit(decay**k)
         carried[f"_carry_{out}"] = F.when(F.col("_slot") == 0, past)
         carry = F.first(f"_carry_{out}").over(running)
-        value = F.col(f"_local_{out}") + F.pow(q, slot + 1) * carry
+        reach = decay_power(alpha, 1, slot) * F.lit(1.0 - alpha)
+        value = F.col(f"_local_{out}") + reach * carry
         results[out] = F.when(F.col(x).isNotNull(), value)
     scratch = [*before, *tails, *carried]
     return (

@@ -10,7 +10,6 @@ from pyspark.sql import functions as F
 from tidemark.functions.scalars import lenient_double, lower_names, with_lineage
 from tidemark.functions.text import TICKER_KEYWORDS, match_tickers
 from tidemark.operators.dedup import keep_first, latest_first
-from tidemark.sources import schemas
 from tidemark.sources.reference_data import CRYPTO_COINS, CRYPTO_PAIRS, MACRO_SERIES, pairs
 
 
@@ -97,8 +96,3 @@ def bars_summary(df: DataFrame, key: str = "symbol", date: str = "timestamp") ->
 def distinct_sorted(df: DataFrame, column: str = "symbol") -> DataFrame:
     return df.select(column).distinct().orderBy(column)
 
-
-__all__ = [
-    "bars_summary", "crypto_bars", "distinct_sorted", "live_titles", "macro_observations",
-    "news_articles", "read_json", "schemas", "stock_bars",
-]
