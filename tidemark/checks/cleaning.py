@@ -16,7 +16,9 @@ from tidemark.checks.views import rnd, rounded, rounded_col, sql
 from tidemark.functions import scalars, text
 from tidemark.operators import quality
 from tidemark.operators.dedup import keep_first
-from tidemark.plans import marts, news, silver
+from tidemark.operators.series import over_series
+from tidemark.operators.technical import forward_targets, technical_indicators
+from tidemark.plans import gold, marts, news, silver
 from tidemark.sources import landing
 from tidemark.sources.lake import last_days
 
@@ -389,12 +391,13 @@ def silver_suite(spark, sf):
              " failures FROM (VALUES"),
 )
 def gold_suite(spark, sf):
-    from pyspark.sql import Window
+    def compute(rows, parts, order):
+        return rows.withColumns(forward_targets(parts, order))
 
-    rows = views.bars(spark, sf)
-    ahead = F.lead("close", 5).over(Window.partitionBy("symbol").orderBy("date"))
+    layout = views.price_layout(spark, sf)
+    rows = over_series(views.bars(spark, sf), compute, back=0, ahead=10, layout=layout)
     rows = rows.select(
-        "symbol", "date", (ahead / F.col("close") - 1).alias("target_5d_return"),
+        "symbol", "date", "target_5d_return",
         F.lit(1.0).alias("macd_hist"),
         F.when(F.col("volume") % 8 == 0, 2.0).otherwise(0.5).alias("sentiment_net"),
     )
@@ -446,11 +449,8 @@ def layers(spark, sf):
         5 * count(DISTINCT symbol) AS target_5d_nulls FROM bars""", "bars"),
 )
 def target_nulls(spark, sf):
-    from tidemark.operators.technical import technical_indicators
-    from tidemark.plans.gold import target_nulls as count
-
     rows = views.bars(spark, sf)
-    return count(technical_indicators(rows, "date", views.price_layout(spark, sf)))
+    return gold.target_nulls(technical_indicators(rows, "date", views.price_layout(spark, sf)))
 
 
 # ---------------------------------------------------------------------------

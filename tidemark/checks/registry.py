@@ -4,9 +4,9 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from tidemark.checks import cleaning, market
+from tidemark.checks import cleaning, market, portfolio
 
-MODULES = (market, cleaning)
+MODULES = (market, cleaning, portfolio)
 
 
 def queries() -> dict[str, Callable]:
