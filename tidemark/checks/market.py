@@ -29,7 +29,7 @@ SQL: dict[str, str] = {}
 
 # indicator -> digits in the comparison
 DIGITS = {
-    "sma_20": 5, "sma_50": 5, "sma_200": 5, "macd": 5, "macd_signal": 5, "macd_hist": 5,
+    "sma_20": 5, "sma_50": 5, "sma_200": 5, "ema_12": 5, "ema_26": 5, "macd": 5, "macd_signal": 5, "macd_hist": 5,
     "bb_upper": 4, "bb_lower": 4, "rsi_14": 4, "close": 2, "value": 2,
     "return_1d": 8, "return_5d": 8, "return_20d": 8, "target_1d_return": 8,
     "target_5d_return": 8, "momentum_acceleration": 8,
@@ -162,11 +162,13 @@ for _name, _columns in {
 def ema(spark, sf):
     def compute(rows, parts, order):
         spec = {"ema_12": ("close", 2 / 13), "ema_26": ("close", 2 / 27)}
-        return ewm_means(add_blocks(rows, parts, order), spec, parts, order)
+        rows, blocks = add_blocks(rows, parts, order, layout)
+        return ewm_means(rows, spec, parts, order, blocks)
 
+    layout = views.price_layout(spark, sf)
     rows = views.bars(spark, sf).select("symbol", "date", "close")
-    out = over_series(rows, compute, back=REACH, layout=views.price_layout(spark, sf))
-    return rounded(out.select("symbol", "date", "ema_12", "ema_26"), 6)
+    out = over_series(rows, compute, back=REACH, layout=layout)
+    return rounded(out.select("symbol", "date", "ema_12", "ema_26"), DIGITS)
 
 
 @register(

@@ -193,9 +193,7 @@ def with_model_scores(
     scored = df.mapInPandas(score, schema)
     if fallback is None:
         return scored
-    plain = fallback(scored.drop(*SENTIMENT_COLUMNS).withColumns(
-        {f"_m_{c}": scored[c] for c in SENTIMENT_COLUMNS}
-    ))
+    plain = fallback(scored.withColumnsRenamed({c: f"_m_{c}" for c in SENTIMENT_COLUMNS}))
     failed = F.isnull("_m_sentiment_net") | F.isnan("_m_sentiment_net")
     return plain.withColumns(
         {c: F.when(failed, F.col(c)).otherwise(F.col(f"_m_{c}")) for c in SENTIMENT_COLUMNS}

@@ -27,17 +27,20 @@ _SEGMENT, _CORE, _POS = "_segment", "_core", "_pos"
 
 @dataclass(frozen=True)
 class Layout:
-    """How a series table is split; ``hot`` means some key exceeds one task's share."""
+    """How a series table is split; ``hot`` means some key exceeds one task's share.
+
+    ``longest`` bounds the rows of one series, where it is known."""
 
     hot: bool
     segment_rows: int = SEGMENT_ROWS
+    longest: int | None = None
 
 
 def measure_layout(df: DataFrame, key: str = "symbol", max_rows: int = MAX_SERIES_ROWS) -> Layout:
     """One narrow count per key decides the layout. Any table with at least as many rows per
     key as the series will do, e.g. the raw trades behind a table of bars."""
     largest = df.groupBy(key).count().agg(F.max("count")).first()[0] or 0
-    return Layout(hot=largest > max_rows)
+    return Layout(hot=largest > max_rows, longest=largest)
 
 
 def over_series(
@@ -143,30 +146,47 @@ def ewm_reach(alpha: float) -> int:
     return math.ceil(NEGLIGIBLE / -math.log1p(-alpha))
 
 
+def pack(df: DataFrame, keep: Sequence[str], name: str = "_rest") -> DataFrame:
+    """Put the columns no window reads into one struct, which windows copy as one value."""
+    rest = [c for c in df.columns if c not in keep]
+    return df.select(*keep, F.struct(*rest).alias(name)) if rest else df
+
+
+def unpack(df: DataFrame, columns: Sequence[str], added: Sequence[str], name: str = "_rest"):
+    """Undo ``pack``: the packed table's own columns in their order, then the added ones."""
+    own = [F.col(c) if c in df.columns else F.col(f"{name}.{c}") for c in columns]
+    return df.select(*own, *added)
+
+
 def add_blocks(
-    df: DataFrame, parts: Sequence[str], order: Sequence[str], name: str = "_block"
-) -> DataFrame:
-    """Number rows in blocks of ``EWM_BLOCK`` so that powers of the decay stay finite."""
+    df: DataFrame, parts: Sequence[str], order: Sequence[str], layout: Layout | None = None
+) -> tuple[DataFrame, list[str]]:
+    """Number rows in blocks of ``EWM_BLOCK`` so that powers of the decay stay finite.
+
+    Returns the block columns: none when every series is known to fit one block, which saves a
+    sort. Later windows should order by block and then ``order``, to keep that sort."""
     index = F.row_number().over(ordered(parts, order)) - 1
-    return (
-        df.withColumn("_index", index)
-        .withColumn(name, F.floor(F.col("_index") / EWM_BLOCK))
-        .withColumn("_slot", F.col("_index") % EWM_BLOCK)
+    df = df.withColumn("_index", index)
+    if layout and not layout.hot and layout.longest is not None and layout.longest <= EWM_BLOCK:
+        return df.withColumnRenamed("_index", "_slot"), []
+    df = df.withColumn("_block", F.floor(F.col("_index") / EWM_BLOCK)).withColumn(
+        "_slot", F.col("_index") % EWM_BLOCK
     )
+    return df.drop("_index"), ["_block"]
 
 
 def decay_power(alpha: float, sign: int, slot: Column) -> Column:
     """``(1 - alpha) ** (sign * slot)`` for a slot inside a block, from two short literal tables
     (the built-in power runs in strict software arithmetic and would dominate the pass)."""
-    q = (1.0 - alpha) ** sign
+    q = 1.0 - alpha
     fine, coarse = 64, EWM_BLOCK // 64
 
     def pick(values: list[float], index: Column) -> Column:
         table = F.expr("array(" + ", ".join(f"{v!r}D" for v in values) + ")")
         return F.get(table, index)
 
-    low = pick([q**j for j in range(fine)], (slot % fine).cast("int"))
-    high = pick([q ** (fine * j) for j in range(coarse)], F.floor(slot / fine).cast("int"))
+    low = pick([q ** (sign * j) for j in range(fine)], (slot % fine).cast("int"))
+    high = pick([q ** (sign * fine * j) for j in range(coarse)], F.floor(slot / fine).cast("int"))
     return low * high
 
 
@@ -175,17 +195,18 @@ def ewm_means(
     specs: dict[str, tuple[str, float]],
     parts: Sequence[str],
     order: Sequence[str],
+    blocks: Sequence[str] = (),
 ) -> DataFrame:
     """``e_t = (1-a) e_{t-1} + a x_t`` seeded with the first non-null value.
 
-    ``specs`` maps an output to (input column, alpha); needs ``add_blocks`` first. Inputs may be
+    ``specs`` maps an output to (input column, alpha); ``blocks`` comes from ``add_blocks``. Inputs may be
     null only before their first value. Inside a block the recurrence is a running sum of
     ``x_i q^-i``; the ends of earlier blocks sit at fixed distances and are added by ``lag``.
     """
-    inside = Window.partitionBy(*parts, "_block").orderBy(*order)
+    inside = Window.partitionBy(*parts, *blocks).orderBy(*order)
     running = inside.rowsBetween(Window.unboundedPreceding, 0)
     # same sort order as above, so no further sort
-    along = Window.partitionBy(*parts).orderBy("_block", *order)
+    along = Window.partitionBy(*parts).orderBy(*blocks, *order)
     slot = F.col("_slot")
 
     before = {f"_before_{x}": F.lag(x).over(along) for x, _ in specs.values()}
@@ -194,6 +215,9 @@ def ewm_means(
         weight = F.when(F.col(f"_before_{x}").isNull(), F.lit(1.0)).otherwise(F.lit(alpha))
         term = F.coalesce(weight * F.col(x) * decay_power(alpha, -1, slot), F.lit(0.0))
         tails[f"_local_{out}"] = F.sum(term).over(running) * decay_power(alpha, 1, slot)
+        if not blocks:
+            results[out] = F.when(F.col(x).isNotNull(), F.col(f"_local_{out}"))
+            continue
         decay = (1.0 - alpha) ** EWM_BLOCK
         past = F.lit(0.0)
         for k in range(math.ceil(ewm_reach(alpha) / EWM_BLOCK)):
@@ -204,14 +228,10 @@ def ewm_means(
         reach = decay_power(alpha, 1, slot) * F.lit(1.0 - alpha)
         value = F.col(f"_local_{out}") + reach * carry
         results[out] = F.when(F.col(x).isNotNull(), value)
-    scratch = [*before, *tails, *carried]
-    return (
-        df.withColumns(before)
-        .withColumns(tails)
-        .withColumns(carried)
-        .withColumns(results)
-        .drop(*scratch)
-    )
+    df = df.withColumns(before).withColumns(tails)
+    if carried:
+        df = df.withColumns(carried)
+    return df.withColumns(results).drop(*before, *tails, *carried)
 
 
 # ---------------------------------------------------------------------------

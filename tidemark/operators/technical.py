@@ -18,9 +18,12 @@ from tidemark.operators.series import (
     ewm_means,
     ewm_reach,
     full_window,
+    measure_layout,
     ordered,
     over_series,
+    pack,
     trailing,
+    unpack,
 )
 from tidemark.scale import broadcast_if_small, freeze
 
@@ -36,6 +39,11 @@ INDICATORS = (
 )
 
 
+MART_INDICATORS = (
+    "sma_20", "sma_50", "sma_200", "bb_upper", "bb_lower", "bb_width", "return_1d", "return_5d",
+    "return_20d", "volatility_20d", "target_1d_return", "target_5d_return",
+)
+
 # columns the indicators are built from
 _SCRATCH = {
     "_std", "_seen", "_in_year", "_mean_r", "_var_r", "_std_r5", "_std_r60", "_low", "_high",
@@ -71,12 +79,15 @@ def rsi(gain_mean: str, loss_mean: str) -> Column:
     return F.lit(100.0) - F.lit(100.0) / (F.lit(1.0) + strength)
 
 
-def with_smoothed(rows: DataFrame, parts, order) -> DataFrame:
-    """RSI and MACD; the four smoothed columns share one pass over the blocks."""
+def with_smoothed(
+    rows: DataFrame, parts, order, layout: Layout | None = None
+) -> tuple[DataFrame, list[str]]:
+    """RSI and MACD, and the order that later windows should use."""
     c = F.col("close")
-    rows = add_blocks(rows, parts, order)
-    delta = c - F.lag(c, 1).over(ordered(parts, order))
-    rows = rows.withColumn("_delta", delta).withColumns(
+    rows, blocks = add_blocks(rows, parts, order, layout)
+    order = [*blocks, *order]
+    rows = rows.withColumn("_delta", c - F.lag(c, 1).over(ordered(parts, order)))
+    rows = rows.withColumns(
         {
             "_gain": F.when(F.col("_delta").isNotNull(), F.greatest("_delta", F.lit(0.0))),
             "_loss": F.when(F.col("_delta").isNotNull(), -F.least("_delta", F.lit(0.0))),
@@ -91,16 +102,17 @@ def with_smoothed(rows: DataFrame, parts, order) -> DataFrame:
             "_loss_mean": ("_loss", 1 / 14),
         },
         parts,
-        order,
+        order[len(blocks) :],
+        blocks,
     )
     rows = rows.withColumn("macd", F.col("_ema_12") - F.col("_ema_26")).withColumn(
         "rsi_14", rsi("_gain_mean", "_loss_mean")
     )
-    rows = ewm_means(rows, {"macd_signal": ("macd", 2 / 10)}, parts, order)
-    return rows.withColumn("macd_hist", F.col("macd") - F.col("macd_signal")).drop(
-        "_delta", "_gain", "_loss", "_ema_12", "_ema_26", "_gain_mean", "_loss_mean",
-        "_index", "_block", "_slot",
-    )
+    rows = ewm_means(rows, {"macd_signal": ("macd", 2 / 10)}, parts, order[len(blocks) :], blocks)
+    rows = rows.withColumn("macd_hist", F.col("macd") - F.col("macd_signal"))
+    return rows.drop(
+        "_delta", "_gain", "_loss", "_ema_12", "_ema_26", "_gain_mean", "_loss_mean", "_slot"
+    ), order
 
 
 def technical_indicators(
@@ -111,11 +123,13 @@ def technical_indicators(
     Rows without a close must be gone already (the silver step drops them).
     """
 
+    layout = layout or measure_layout(prices)
+
     def compute(rows: DataFrame, parts: list[str], by: list[str]) -> DataFrame:
         c, v = F.col("close"), F.col("volume").cast("double")
-        w = ordered(parts, by)
         # the smoothing passes come first, while rows are narrow
-        rows = with_smoothed(rows, parts, by)
+        rows, by = with_smoothed(rows, parts, by, layout)
+        w = ordered(parts, by)
         ten, sixteen = trailing(parts, by, 10), trailing(parts, by, 16)
         seen = F.count(c).over(w.rowsBetween(Window.unboundedPreceding, 0))
         rows = rows.withColumns(
@@ -172,10 +186,10 @@ def technical_indicators(
         )
         return rows.drop(*[x for x in rows.columns if x in _SCRATCH])
 
-    out = over_series(
-        prices, compute, order=(order,), back=REACH, ahead=10, layout=layout
-    )
-    return out.select(*[c for c in prices.columns if c not in INDICATORS], *INDICATORS)
+    own = [c for c in prices.columns if c not in INDICATORS]
+    packed = pack(prices.select(*own), ["symbol", order, "close", "volume"])
+    out = over_series(packed, compute, order=(order,), back=REACH, ahead=10, layout=layout)
+    return unpack(out, own, INDICATORS)
 
 
 def mart_technicals(prices: DataFrame, layout: Layout | None = None) -> DataFrame:
@@ -226,7 +240,9 @@ def mart_technicals(prices: DataFrame, layout: Layout | None = None) -> DataFram
             }
         ).drop(*[x for x in rows.columns if x in _SCRATCH])
 
-    return over_series(prices, compute, back=200, ahead=5, layout=layout)
+    packed = pack(prices, ["symbol", "date", "close"])
+    out = over_series(packed, compute, back=200, ahead=5, layout=layout)
+    return unpack(out, prices.columns, MART_INDICATORS)
 
 
 def latest_returns(
