@@ -76,15 +76,10 @@ def as_of_join(
     stretched = fixed.withColumn("_until", F.coalesce(F.date_sub(following, 1), right_date)).select(
         F.explode(F.sequence(right_date, "_until")).alias("_day"), *values
     )
-    probe = left.withColumn("_day", F.least(F.col(date), F.lit(last_day)))
-    joined = probe.filter(F.col(date).isNotNull()).join(
-        broadcast_if_small(stretched), "_day", "left"
-    )
-    undated = left.filter(F.col(date).isNull())
-    joined = joined.select(*left.columns, *values)
-    if left.schema[date].nullable:
-        return joined.unionByName(undated, allowMissingColumns=True)
-    return joined
+    # a row without a date matches nothing
+    day = F.when(F.col(date).isNotNull(), F.least(F.col(date), F.lit(last_day)))
+    joined = left.withColumn("_day", day).join(broadcast_if_small(stretched), "_day", "left")
+    return joined.select(*left.columns, *values)
 
 
 def macro_daily(

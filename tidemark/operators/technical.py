@@ -240,9 +240,8 @@ def mart_technicals(prices: DataFrame, layout: Layout | None = None) -> DataFram
             }
         ).drop(*[x for x in rows.columns if x in _SCRATCH])
 
-    packed = pack(prices, ["symbol", "date", "close"])
-    out = over_series(packed, compute, back=200, ahead=5, layout=layout)
-    return unpack(out, prices.columns, MART_INDICATORS)
+    out = over_series(prices, compute, back=200, ahead=5, layout=layout)
+    return out.select(*prices.columns, *MART_INDICATORS)
 
 
 def latest_returns(
