@@ -399,8 +399,8 @@ LEXICON_SQL = f"""
         " CASE WHEN g.asset_class = 'equity' THEN g.sector END AS sector,"
         " round(g.close, 2) AS close, "
         + ", ".join(_r(f"{t}.{c}", c) for t, cs in (("g", PLAIN), ("s", SMOOTHED)) for c in cs)
-        + """, CASE WHEN g.asset_class = 'equity' THEN round(g.return_1d - avg(g.return_1d)
-             OVER (PARTITION BY g.asset_class, sector, g.date) + 2.5e-9, 6) END AS rel_strength_sector, """
+        + """, CASE WHEN g.asset_class = 'equity' THEN floor((g.return_1d - avg(g.return_1d)
+             OVER (PARTITION BY g.asset_class, sector, g.date)) * 1e6 + 0.5025) / 1e6 END AS rel_strength_sector, """
         + ", ".join(f'round(m."{c}", 2) AS "{c}"' for c in _MACRO_OUT)
         + ", " + ", ".join(f"{rnd(f'coalesce(d.{c}, 0)')} AS {c}"
                            for c in news.SENTIMENT_COLUMNS)
@@ -492,8 +492,8 @@ def mart_features(spark, sf):
 
 @register(
     "c12_mart_sector_perf",
-    sql(MART_SQL + """SELECT sector, date, round(avg(return_1d), 6) AS avg_return_1d,
-        round(avg(volatility_20d), 6) AS avg_volatility_20d, sum(volume) AS total_volume,
+    sql(MART_SQL + f"""SELECT sector, date, {rnd("avg(return_1d)")} AS avg_return_1d,
+        {rnd("avg(volatility_20d)")} AS avg_volatility_20d, sum(volume) AS total_volume,
         count(DISTINCT symbol) AS active_assets FROM targets GROUP BY sector, date""", "prices"),
 )
 def mart_sector_perf(spark, sf):
