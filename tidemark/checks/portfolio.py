@@ -394,8 +394,10 @@ def curve(spark, sf):
         {rnd("arg_max(v, date)", 3)} AS final_value, {rnd("arg_max(b, date)", 3)} AS final_benchmark,
         {rnd("(arg_max(v, date) / 100000) ** (252.0 / count(*)) - 1")} AS cagr,
         {rnd("(arg_max(b, date) / 100000) ** (252.0 / count(*)) - 1")} AS benchmark_cagr,
-        {rnd("avg(r) / stddev_pop(r) * sqrt(252)")} AS sharpe,
-        {rnd("avg(r) / stddev_pop(CASE WHEN r < 0 THEN r END) * sqrt(252)")} AS sortino,
+        {rnd("avg(r) / CASE WHEN stddev_pop(r) > 0 THEN stddev_pop(r) ELSE 1e-8 END * sqrt(252)")}
+            AS sharpe,
+        {rnd("avg(r) / CASE WHEN count(*) FILTER (WHERE r < 0) > 0 THEN"
+             " stddev_pop(CASE WHEN r < 0 THEN r END) ELSE 1e-8 END * sqrt(252)")} AS sortino,
         {rnd("min((v - peak) / peak)")} AS max_drawdown,
         {rnd("avg(CASE WHEN r > 0 THEN 1.0 WHEN r IS NOT NULL THEN 0.0 END)")} AS win_rate FROM e""",
         "prices"),
