@@ -3,9 +3,10 @@
 import pytest
 
 import __spark_entry__ as entry
+from tidemark.checks import registry
 from tidemark.checks.compare import compare
 
-QUERIES, SQL = entry.queries(), entry.oracle_sql()
+QUERIES, SQL = registry.queries(), registry.oracle_sql()
 SLOW = {"m6_random_forest", "m4_search"}
 
 
