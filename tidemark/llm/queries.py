@@ -1,22 +1,225 @@
-"""Registered queries of the corpus operators, thin digests of what the operators return."""
+"""Registered queries of the corpus operators: thin digests of what the operators return."""
 
 from __future__ import annotations
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import simhash
+from tidemark.llm import (
+    crf, decontaminate, langid, linededup, mixing, simhash, substring, tokencount, tokenfile, urlfilter,
+)
+from tidemark.llm.common import shared_path
+
+TOKENIZER = "word_bpe_49k.json"  # drops white space and never merges across it
+END_ID = 2
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op1_langid(spark: SparkSession, sf_dir: str) -> DataFrame:
+    held_out = F.crc32(F.col("doc_id").cast("string")) % 3 == 1
+    return langid.identify(table(spark, sf_dir, "documents"), held_out)
+
+
 def op2_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = simhash.near_duplicates(table(spark, sf_dir, "documents"))
     digits = F.lpad(F.lower(F.hex("fp")), 16, "0")
     return found.select("doc_id", digits.alias("fingerprint"), "component_id")
 
 
-QUERIES = {"op2_simhash": op2_simhash}
-SQL: dict[str, str] = {}
+def op3_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return crf.judge(docs, crf.fit(docs, table(spark, sf_dir, "labels"))).drop("text")
+
+
+def op4_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = mixing.mix(table(spark, sf_dir, "documents").select("doc_id", "text", "source"))
+    return found.select("doc_id", "size", "source_size", "target", (F.col("n_copies") * F.col("size")).alias("taken"))
+
+
+def op5_substring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = substring.remove_repeats(table(spark, sf_dir, "documents"))
+    return found.select("doc_id", "n_words", "n_removed", F.sha2("kept", 256).alias("kept_sha256"))
+
+
+def op6_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    found = linededup.apply_bitmaps(docs, linededup.keep_bitmaps(docs))
+    return found.select("doc_id", "n_lines", "n_dropped", F.sha2("text", 256).alias("kept_sha256"))
+
+
+def op7_urls(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = urlfilter.judge_urls(table(spark, sf_dir, "pages"))
+    return found.select("page_id", "host", "path", "rule", "verdict")
+
+
+def op8_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = shared_path(spark, "token-files")
+    tokenfile.write_tokens(table(spark, sf_dir, "documents"), path, public_tokenizers.path(TOKENIZER), END_ID, by_word=True)
+    tokens = tokenfile.read_tokens(spark, path)
+    return tokenfile.digests(tokenfile.with_start(tokens, tokens))
+
+
+def op9_leaks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    found = decontaminate.scan(docs, table(spark, sf_dir, "benchmark"))
+    return found.select(
+        "doc_id", "n_words", "n_hit", F.size("items").cast("long").alias("n_items"),
+        F.sha2(F.array_join("items", ","), 256).alias("items_sha256"), "contaminated",
+    )
+
+
+def op10_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    # a cache of its own for each call, so that every call answers for the whole table
+    cache = shared_path(spark, "token-counts")
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    found = tokencount.count_tokens(docs, cache, public_tokenizers.path(TOKENIZER), by_word=True)
+    return found.withColumn("over_limit", F.col("n_tokens") > 2048)
+
+
+QUERIES = {
+    f.__name__: f
+    for f in (op1_langid, op2_simhash, op3_quality, op4_mixing, op5_substring, op6_lines, op7_urls, op8_tokens,
+              op9_leaks, op10_counts)
+}
+
+_UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
+_BLANK = r"[\x20\x09-\x0D]"
+_LAST = (1 << 63) - 1
+
+MIX_SQL = r"""
+WITH docs AS (
+  SELECT doc_id, source, len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+'))::BIGINT AS size FROM documents
+), classed AS (
+  SELECT *, CASE WHEN size > 0 THEN length(bin(size)) ELSE 0 END AS w FROM docs
+), sources AS (
+  SELECT source, sum(size)::BIGINT AS source_size, row_number() OVER (ORDER BY source IS NULL, source) - 1 AS rank
+  FROM docs GROUP BY source
+), weighed AS (
+  SELECT *, [5, 2, 1][rank % 3 + 1] AS weight, 2 * source_size AS cap FROM sources
+), filled AS (
+  SELECT *, sum(cap) OVER up AS topped, sum(weight) OVER up AS used,
+    (SELECT 1.5 * sum(source_size)::DOUBLE FROM sources) AS wanted, (SELECT sum(weight) FROM weighed) AS weights
+  FROM weighed WINDOW up AS (ORDER BY cap / weight, rank)
+), rated AS (
+  SELECT *, (wanted - (topped - cap)::DOUBLE) / (weights - (used - weight))::DOUBLE AS rate FROM filled
+), pace AS (
+  SELECT arg_min(rate, (cap / weight, rank)) AS rate FROM rated WHERE rate * weight < cap
+), aims AS (
+  SELECT source, rank, source_size, least(cap::DOUBLE, coalesce(pace.rate * weight, cap::DOUBLE)) AS target FROM rated, pace
+), classes AS (
+  SELECT rank, source_size, target, w, sum(size)::BIGINT AS words
+  FROM classed JOIN aims ON classed.source IS NOT DISTINCT FROM aims.source GROUP BY ALL
+), steps AS (
+  SELECT *, coalesce(sum(words) OVER (PARTITION BY rank ORDER BY w DESC ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS above,
+    sum(w * words) OVER (PARTITION BY rank ORDER BY w DESC ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING) AS below FROM classes
+), slopes AS (
+  SELECT *, CASE WHEN below > 0 THEN (target - (above * 2)::DOUBLE) / below::DOUBLE END AS slope FROM steps
+), chosen AS (
+  SELECT rank, arg_max(slope, w) AS c FROM slopes WHERE slope * w <= 2 GROUP BY rank
+), rates AS (
+  SELECT slopes.*, CASE WHEN w > 0 THEN least(2.0::DOUBLE, coalesce(c * w, 2.0::DOUBLE)) ELSE 0 END AS copies
+  FROM slopes LEFT JOIN chosen USING (rank)
+), parts AS (
+  SELECT *, floor(copies)::BIGINT AS certain, copies - floor(copies) AS p,
+    target - sum(floor(copies)::BIGINT * words) OVER (PARTITION BY rank)::DOUBLE AS lacking FROM rates
+), drawn AS (
+  SELECT classed.*, parts.rank, certain, p, lacking, parts.source_size, parts.target,
+    (('0x' || md5('mix:' || doc_id)[1:12])::BIGINT * 2 + 1) / (1::BIGINT << 49)::DOUBLE AS u
+  FROM classed JOIN aims ON classed.source IS NOT DISTINCT FROM aims.source
+  JOIN parts ON parts.rank = aims.rank AND parts.w = classed.w
+), ordered AS (
+  SELECT *, CASE WHEN p > 0 THEN sum(CASE WHEN p > 0 THEN size ELSE 0 END) OVER (
+    PARTITION BY rank, p > 0 ORDER BY (u / (1 - u)) / (p / (1 - p)), doc_id ROWS UNBOUNDED PRECEDING) END AS through FROM drawn
+)
+SELECT doc_id, size, source_size, target,
+  (size * (certain + CASE WHEN p > 0 AND 2 * through - size < 2 * lacking THEN 1 ELSE 0 END))::BIGINT AS taken FROM ordered
+"""
+
+SUBSTRING_SQL = f"""
+WITH docs AS (
+  SELECT row_number() OVER () AS r, doc_id, coalesce(doc_id, {_LAST}) AS ord,
+    regexp_extract_all(coalesce(text, ''), '[^\\x20\\x09-\\x0D]+') AS w FROM documents
+), places AS (
+  SELECT r, ord, w, unnest(range(1, len(w) - 48)) AS i FROM docs WHERE len(w) >= 50
+), windows AS (
+  SELECT r, ord, i, sha256(array_to_string(w[i:i + 49], ' ')) AS h FROM places
+), repeated AS (
+  SELECT r, i FROM (SELECT *, min(ord) OVER (PARTITION BY h) AS low FROM windows) WHERE ord > low
+), gone AS (
+  SELECT r, list(DISTINCT k) AS ks FROM (SELECT r, unnest(range(i, i + 50)) AS k FROM repeated) GROUP BY r
+), left_over AS (
+  SELECT doc_id, len(w)::BIGINT AS n_words, coalesce(len(ks), 0)::BIGINT AS n_removed,
+    CASE WHEN ks IS NULL THEN w ELSE list_select(w, list_filter(range(1, len(w) + 1), lambda k: NOT list_contains(ks, k))) END AS kept
+  FROM docs LEFT JOIN gone USING (r)
+)
+SELECT doc_id, n_words, n_removed, sha256(array_to_string(kept, ' ')) AS kept_sha256 FROM left_over
+"""
+
+LINES_SQL = f"""
+WITH docs AS (
+  SELECT row_number() OVER () AS r, doc_id, coalesce(doc_id, {_LAST}) AS ord, string_split(coalesce(text, ''), chr(10)) AS l FROM documents
+), lines AS (
+  SELECT r, doc_id, ord, unnest(l) AS line, unnest(range(1, len(l) + 1)) AS i FROM docs
+), keyed AS (
+  SELECT *, translate(regexp_replace(line, '^{_BLANK}+|{_BLANK}+$', '', 'g'), '{_UPPER}', '{_LOWER}') AS key FROM lines
+), judged AS (
+  SELECT *, length(key) >= 10 AND ord > min(ord) OVER (PARTITION BY key) AS gone FROM keyed
+)
+SELECT any_value(doc_id) AS doc_id, count(*) AS n_lines, count(*) FILTER (WHERE gone) AS n_dropped,
+  sha256(coalesce(string_agg(line, chr(10) ORDER BY i) FILTER (WHERE NOT gone), '')) AS kept_sha256 FROM judged GROUP BY r
+"""
+
+_TERM = "'(^|[^a-z0-9])(' || {} || ')([^a-z0-9]|$)'"
+URLS_SQL = f"""
+WITH parts AS (
+  SELECT page_id, translate(coalesce(url, ''), '{_UPPER}', '{_LOWER}') AS low,
+    translate(regexp_extract(coalesce(url, ''), '(?s)^.*?://([^/?#]*)', 1), '{_UPPER}', '{_LOWER}') AS host,
+    regexp_extract(coalesce(url, ''), '(?s)^.*?://[^/?#]*([^?#]*)', 1) AS path FROM pages
+), rules (rule, host, path, verdict) AS (
+  VALUES {", ".join(f"('{r}', '{r.partition('/')[0]}', '/{r.partition('/')[2]}', '{v}')" for r, v in urlfilter.RULES)}
+), soft (term) AS (VALUES {", ".join(f"('{t}')" for t in urlfilter.SOFT)}
+), ruled AS (
+  SELECT page_id, arg_min(rule, (-length(rule), rule)) AS rule, arg_min(verdict, (-length(rule), rule)) AS verdict
+  FROM parts p JOIN rules r ON (p.host = r.host OR suffix(p.host, '.' || r.host)) AND prefix(p.path, r.path) GROUP BY page_id
+), counted AS (
+  SELECT page_id, count(*) AS n FROM parts JOIN soft ON regexp_matches(low, {_TERM.format("term")}) GROUP BY page_id
+)
+SELECT page_id, host, path, rule, coalesce(verdict, CASE
+  WHEN regexp_matches(low, {_TERM.format("'" + "|".join(urlfilter.STRICT) + "'")}) OR coalesce(n, 0) >= {urlfilter.SOFT_LIMIT}
+  THEN 'block' ELSE 'allow' END) AS verdict
+FROM parts LEFT JOIN ruled USING (page_id) LEFT JOIN counted USING (page_id)
+"""
+
+LEAKS_SQL = f"""
+WITH item_words AS (
+  SELECT item_id::VARCHAR AS item_id, regexp_extract_all(translate(text, '{_UPPER}', '{_LOWER}'), '[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+') AS w FROM benchmark
+), item_places AS (
+  SELECT item_id, w, least(len(w), 13) AS n, unnest(range(1, greatest(len(w) - 12, 1) + 1)) AS i FROM item_words WHERE len(w) > 0
+), windows AS (
+  SELECT DISTINCT item_id, n, array_to_string(w[i:i + n - 1], ' ') AS h FROM item_places
+), docs AS (
+  SELECT row_number() OVER () AS r, doc_id,
+    regexp_extract_all(translate(coalesce(text, ''), '{_UPPER}', '{_LOWER}'), '[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+') AS w FROM documents
+), places AS (
+  SELECT r, w, n, unnest(range(1, len(w) - n + 2)) AS i FROM docs, (SELECT DISTINCT n FROM windows) WHERE len(w) >= n
+), hits AS (
+  SELECT r, i, n, item_id FROM (SELECT r, i, n, array_to_string(w[i:i + n - 1], ' ') AS h FROM places) JOIN windows USING (n, h)
+), hit_words AS (
+  SELECT r, count(DISTINCT k) AS n_hit FROM (SELECT r, unnest(range(i, i + n)) AS k FROM hits) GROUP BY r
+), found AS (
+  SELECT r, count(DISTINCT item_id) AS n_items, array_to_string(list_sort(list(DISTINCT item_id)), ',') AS ids FROM hits GROUP BY r
+)
+SELECT doc_id, len(w)::BIGINT AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items,
+  sha256(coalesce(ids, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AND 20 * coalesce(n_hit, 0) >= len(w) AS contaminated
+FROM docs LEFT JOIN hit_words USING (r) LEFT JOIN found USING (r)
+"""
+
+# A trained model (1, 3), bit operations over all pairs (2) or a tokenizer (8, 10) decide the others.
+SQL = {
+    "op4_mixing": MIX_SQL, "op5_substring": SUBSTRING_SQL, "op6_lines": LINES_SQL, "op7_urls": URLS_SQL,
+    "op9_leaks": LEAKS_SQL,
+}
