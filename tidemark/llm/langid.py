@@ -16,6 +16,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tidemark.llm.common import map_rows, store, values
 
@@ -144,7 +145,7 @@ def bit_outputs(docs: DataFrame, model: Model, *carry: str) -> DataFrame:
     """(carry..., bits): the classifiers' outputs per row; null where the text has no letter."""
     held = docs.sparkSession.sparkContext.broadcast(model)
     rows = docs.select(*carry, F.col("text").cast("string").alias("_text"))
-    schema = docs.select(*carry, F.array(F.lit(0.0).cast("float")).alias("bits")).schema
+    schema = docs.select(*carry).schema.add("bits", T.ArrayType(T.FloatType()))
 
     def work(batches):
         for batch in batches:
@@ -182,7 +183,7 @@ def decode(outputs: DataFrame, model: Model, weights: np.ndarray, margin: float
             bits = values(batch.column("bits"))
             out: list[list] = [[], [], [], []]
             known = [i for i, b in enumerate(bits) if b is not None and languages]
-            z = np.array([bits[i] for i in known], float).reshape(len(known), -1)
+            z = np.array([bits[i] for i in known], float)
             loss = np.stack([(np.logaddexp(0, -s * z) * w).sum(axis=1) for s, w in zip(signs, shares)], 1) if known else None
             ranks = dict(zip(known, range(len(known))))
             for i in range(len(bits)):
@@ -202,8 +203,10 @@ def decode(outputs: DataFrame, model: Model, weights: np.ndarray, margin: float
                 [*names, "lang_pred", "score", "runner_up", "ambiguous"],
             )
 
-    added = [F.lit("").alias("lang_pred"), F.lit(0.0).alias("score"), F.lit("").alias("runner_up"), F.lit(True).alias("ambiguous")]
-    schema = outputs.select(*[F.col(f"`{c}`") for c in names], *added).schema
+    schema = outputs.drop("bits").schema
+    for name, kind in (("lang_pred", T.StringType()), ("score", T.DoubleType()),
+                       ("runner_up", T.StringType()), ("ambiguous", T.BooleanType())):
+        schema = schema.add(name, kind)
     return map_rows(outputs, schema, work)
 
 
