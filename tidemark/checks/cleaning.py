@@ -9,7 +9,7 @@ from tidemark.checks.market import (
     LEXICON_SQL,
     NEGATIVE_TOKENS,
     POSITIVE_TOKENS,
-    like_sum,
+    fragment_count,
     scored_by_tokens,
 )
 from tidemark.checks.views import rnd, rounded, rounded_col, sql
@@ -476,8 +476,8 @@ def lexicon(spark, sf):
 
 @register(
     "t4_fragment_counts",
-    sql(f"""SELECT doc_id, CAST({like_sum(news.POSITIVE_FRAGMENTS)} AS INTEGER) AS pos_count,
-        CAST({like_sum(news.NEGATIVE_FRAGMENTS)} AS INTEGER) AS neg_count FROM articles""",
+    sql(f"""SELECT doc_id, CAST({fragment_count(news.POSITIVE_FRAGMENTS)} AS INTEGER) AS pos_count,
+        CAST({fragment_count(news.NEGATIVE_FRAGMENTS)} AS INTEGER) AS neg_count FROM articles""",
         "articles"),
 )
 def fragments(spark, sf):

@@ -268,22 +268,23 @@ def as_of_macro(spark, sf):
     return rounded(out, {**{c: 2 for c in _MACRO_OUT}, "close": 2})
 
 
+# the latest print of each series at or before each day with a price; prints of other days
+# do not exist
 _MART_MACRO = """
-    , dates AS (SELECT date FROM prices WHERE asset_class = 'equity'
-                UNION SELECT date FROM prices WHERE asset_class = 'crypto')
-    , ser AS (SELECT DISTINCT series_id FROM macro)
-    , grid AS (SELECT date, series_id FROM dates CROSS JOIN ser)
-    , ff AS (SELECT g.date, g.series_id, last_value(m.value IGNORE NULLS) OVER (
-                PARTITION BY g.series_id ORDER BY g.date
-                ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS value
-             FROM grid g LEFT JOIN macro m ON g.date = m.date AND g.series_id = m.series_id)
-    , md AS (SELECT *, treasury_10y - treasury_2y AS yield_curve_slope FROM (SELECT date, {cols}
-             FROM ff GROUP BY date))
+    , calendar AS (SELECT DISTINCT date FROM prices)
+    , prints AS (SELECT series_id, date, value FROM macro
+                 WHERE value IS NOT NULL AND date IN (SELECT date FROM calendar))
+    , md AS (SELECT calendar.date, {values}, s{long}.value - s{short}.value AS yield_curve_slope
+             FROM calendar {series})
 """.format(
-    cols=", ".join(
-        f"max(CASE WHEN series_id = '{s}' THEN value END) AS {c}"
-        for s, c in macro_ops.MART_SERIES.items()
-    )
+    values=", ".join(f"s{i}.value AS {c}" for i, c in enumerate(macro_ops.MART_SERIES.values())),
+    long=list(macro_ops.MART_SERIES).index(macro_ops.LONG_RATE),
+    short=list(macro_ops.MART_SERIES).index(macro_ops.SHORT_RATE),
+    series=" ".join(
+        f"ASOF LEFT JOIN (SELECT date, value FROM prints WHERE series_id = '{s}') s{i}"
+        f" ON calendar.date >= s{i}.date"
+        for i, s in enumerate(macro_ops.MART_SERIES)
+    ),
 )
 
 
@@ -423,44 +424,62 @@ def gold_features(spark, sf):
     return rounded(out.select(*keep), DIGITS)
 
 
-FRAGMENT_SQL = """
-    , counted AS (SELECT matched_tickers, date, {p} AS p, {n} AS n FROM articles
-                  WHERE matched_tickers IS NOT NULL AND matched_tickers <> '')
-    , net AS (SELECT *, CASE WHEN p > n THEN 1.0 WHEN n > p THEN -1.0 ELSE 0.0 END AS net FROM counted)
-    , mart_news AS (SELECT symbol, date, avg(net) AS sentiment_net
-        FROM (SELECT trim(unnest(string_split(matched_tickers, ','))) AS symbol, date, net FROM net)
-        GROUP BY symbol, date)
-"""
+def in_article(fragment: str) -> str:
+    return f"(contains(lower(title), {fragment}) OR contains(lower(description), {fragment}))"
 
 
-def like_sum(fragments) -> str:
-    return " + ".join(
-        f"CASE WHEN lower(title) LIKE '%{f}%' OR lower(description) LIKE '%{f}%' THEN 1 ELSE 0 END"
-        for f in fragments
-    )
+def fragment_count(fragments) -> str:
+    """How many of the fragments an article of ``articles`` holds."""
+    return f"len(list_filter({token_list(fragments)}, lambda f: coalesce({in_article('f')}, false)))"
 
 
-FRAGMENT_SQL = FRAGMENT_SQL.format(
-    p=like_sum(news.POSITIVE_FRAGMENTS), n=like_sum(news.NEGATIVE_FRAGMENTS)
+# every fragment found in an article pulls its ticker up or down by one; the sign of the sum counts
+FRAGMENT_SQL = """
+    , pulls (fragment, pull) AS (VALUES {pulls})
+    , numbered AS (SELECT row_number() OVER () AS k, * FROM articles WHERE matched_tickers <> '')
+    , leaning AS (SELECT k, sign(coalesce(sum(pull), 0)) AS lean
+                  FROM numbered LEFT JOIN pulls ON {found} GROUP BY k)
+    , named AS (SELECT k, date, unnest(string_split(matched_tickers, ',')) AS ticker FROM numbered)
+    , mart_news AS (SELECT trim(ticker) AS symbol, date, avg(lean) AS sentiment_net
+                    FROM named JOIN leaning USING (k) GROUP BY trim(ticker), date)
+""".format(
+    pulls=", ".join(
+        f"('{f}', {pull})"
+        for fragments, pull in ((news.POSITIVE_FRAGMENTS, 1), (news.NEGATIVE_FRAGMENTS, -1))
+        for f in fragments
+    ),
+    found=in_article("fragment"),
 )
 
-_B = "OVER (PARTITION BY symbol ORDER BY date ROWS BETWEEN {} PRECEDING AND CURRENT ROW)"
+
+def last_n(column: str, n: int) -> str:
+    """The up to ``n`` newest entries of a symbol's list at row ``i``."""
+    return f"{column}[greatest(i - {n - 1}, 1):i]"
+
+
+def change(n: int) -> str:
+    """Relative change of the close over ``n`` rows of the symbol; none before there are as many."""
+    return f"CASE WHEN i > {n} THEN closes[i] / closes[i - {n}] - 1 END"
+
+
+# each symbol's closes and returns as one list, read by position
 MART_SQL = f"""
-    , mp AS (SELECT symbol, date, open, high, low, close, volume, trade_count, vwap, asset_class,
-        CASE WHEN asset_class = 'crypto' THEN 'Crypto' ELSE sector END AS sector,
-        CASE WHEN asset_class = 'crypto' THEN 'Cryptocurrency' ELSE industry END AS industry
-        FROM prices)
-    , tech AS (SELECT *, avg(close) {_B.format(19)} AS sma_20, avg(close) {_B.format(49)} AS sma_50,
-        avg(close) {_B.format(199)} AS sma_200, stddev_samp(close) {_B.format(19)} AS bb_std,
-        (close - lag(close, 1) {W}) / lag(close, 1) {W} AS return_1d,
-        (close - lag(close, 5) {W}) / lag(close, 5) {W} AS return_5d,
-        (close - lag(close, 20) {W}) / lag(close, 20) {W} AS return_20d FROM mp)
-    , targets AS (SELECT *, sma_20 + 2 * bb_std AS bb_upper, sma_20 - 2 * bb_std AS bb_lower,
-        CASE WHEN sma_20 != 0 THEN 4.0 * bb_std / sma_20 ELSE 0 END AS bb_width,
-        stddev_samp(return_1d) {_B.format(19)} AS volatility_20d,
-        return_1d - avg(return_1d) OVER (PARTITION BY sector, date) AS rel_strength_sector,
-        lead(return_1d, 1) {W} AS target_1d_return,
-        (lead(close, 5) {W} - close) / close AS target_5d_return FROM tech)
+    , placed AS (SELECT *, row_number() OVER (PARTITION BY symbol ORDER BY date) AS i FROM prices)
+    , histories AS (SELECT symbol, list(close ORDER BY i) AS closes FROM placed GROUP BY symbol)
+    , changes AS (SELECT symbol, closes, list_transform(closes, lambda c, i: {change(1)}) AS gains FROM histories)
+    , read AS (SELECT placed.* EXCLUDE (sector, industry), gains,
+        if(asset_class = 'crypto', 'Crypto', sector) AS sector,
+        if(asset_class = 'crypto', 'Cryptocurrency', industry) AS industry,
+        {", ".join(f"list_avg({last_n('closes', n)}) AS sma_{n}" for n in (20, 50, 200))},
+        2 * list_stddev_samp({last_n("closes", 20)}) AS band,
+        list_stddev_samp({last_n("gains", 20)}) AS volatility_20d,
+        {", ".join(f"{change(n)} AS return_{n}d" for n in (1, 5, 20))},
+        gains[i + 1] AS target_1d_return, closes[i + 5] / close - 1 AS target_5d_return
+        FROM placed JOIN changes USING (symbol))
+    , sector_means AS (SELECT sector, date, avg(return_1d) AS sector_return FROM read GROUP BY sector, date)
+    , mart AS (SELECT read.*, sma_20 + band AS bb_upper, sma_20 - band AS bb_lower,
+        if(sma_20 = 0, 0, 2 * band / sma_20) AS bb_width, return_1d - sector_return AS rel_strength_sector
+        FROM read JOIN sector_means USING (sector, date))
 """
 _MART_NUMBERS = ["open", "high", "low", "close", "volume", "vwap", *marts.TECHNICAL_COLUMNS]
 
@@ -481,7 +500,7 @@ def mart_from(spark, sf):
         + "SELECT t.symbol, t.date, t.trade_count, t.asset_class, t.sector, t.industry, "
         + ", ".join(_r(f"t.{c}", c) for c in _MART_NUMBERS) + ", "
         + ", ".join(_r(f"m.{c}", c) for c in marts.MACRO_COLUMNS)
-        + """, floor(coalesce(x.sentiment_net, 0.0) * 1e6 + 0.5025) / 1e6 AS sentiment_net FROM targets t
+        + """, floor(coalesce(x.sentiment_net, 0.0) * 1e6 + 0.5025) / 1e6 AS sentiment_net FROM mart t
         LEFT JOIN md m ON t.date = m.date
         LEFT JOIN mart_news x ON t.symbol = x.symbol AND t.date = x.date""",
         "prices", "macro", "articles"),
@@ -494,7 +513,7 @@ def mart_features(spark, sf):
     "c12_mart_sector_perf",
     sql(MART_SQL + f"""SELECT sector, date, {rnd("avg(return_1d)")} AS avg_return_1d,
         {rnd("avg(volatility_20d)")} AS avg_volatility_20d, sum(volume) AS total_volume,
-        count(DISTINCT symbol) AS active_assets FROM targets GROUP BY sector, date""", "prices"),
+        count(DISTINCT symbol) AS active_assets FROM mart GROUP BY sector, date""", "prices"),
 )
 def mart_sector_perf(spark, sf):
     return rounded(marts.mart_sector_performance(mart_from(spark, sf)), 6)
@@ -504,7 +523,7 @@ def mart_sector_perf(spark, sf):
     "w1_w5_mart_technicals",
     sql(MART_SQL + "SELECT symbol, date, "
         + ", ".join(_r(c) for c in marts.TECHNICAL_COLUMNS if c != "rel_strength_sector")
-        + " FROM targets", "prices"),
+        + " FROM mart", "prices"),
 )
 def partial_windows(spark, sf):
     out = mart_technicals(views.bars(spark, sf), views.price_layout(spark, sf))

@@ -93,16 +93,21 @@ def match_tickers(
 
     ``query_tickers`` is an array. A candidate without keywords is named by its own symbol; no
     match at all means every candidate. Only an article's few candidates are tested, inside
-    the row, so there is nothing to shuffle.
+    the row, so there is nothing to shuffle. The pattern of a keyword ticker is a literal, which
+    is compiled once for the job; only other candidates need a pattern of their own.
     """
     text = article_text(title, description)
-    pairs = [F.lit(x) for t, words in keywords.items() for x in (t, _any_keyword(words))]
-    patterns = F.create_map(*pairs) if pairs else None
     own = lambda t: F.concat(F.lit(r"(?U)\b\Q"), F.lower(t), F.lit(r"\E\b"))
+    found = F.array(*[
+        F.when(F.array_contains(query_tickers, t) & F.rlike(text, F.lit(_any_keyword(words))), F.lit(t))
+        for t, words in keywords.items()
+    ])
 
     def named(ticker: Column) -> Column:
-        pattern = own(ticker) if patterns is None else F.coalesce(patterns[ticker], own(ticker))
-        return F.rlike(text, pattern)
+        if not keywords:
+            return F.rlike(text, own(ticker))
+        by_keyword = F.coalesce(F.array_contains(found, ticker), F.lit(False))
+        return F.when(ticker.isin(*keywords), by_keyword).otherwise(F.rlike(text, own(ticker)))
 
     hits = F.filter(query_tickers, named)
     return F.array_join(F.when(F.size(hits) > 0, hits).otherwise(query_tickers), ",")

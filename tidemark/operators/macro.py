@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import warnings
 from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, Window
@@ -49,12 +50,26 @@ def pivot_series(macro: DataFrame, series: Sequence[str], strict: bool = True) -
     return macro.groupBy("date").agg(*columns)
 
 
-def macro_features(macro: DataFrame, series: Sequence[str] = tuple(MART_SERIES)) -> DataFrame:
-    """Pivot, fill forward over the series' own dates, add the slope of the yield curve."""
-    pivoted = pivot_series(macro, series)
-    # one row per calendar day, so one task orders them all
+def fill_calendar(daily: DataFrame, columns: Sequence[str]) -> DataFrame:
+    """Last known value of each column. One row per calendar day, so one task orders them all."""
     past = Window.orderBy("date").rowsBetween(Window.unboundedPreceding, 0)
-    filled = pivoted.withColumns({s: F.last(s, ignorenulls=True).over(past) for s in series})
+    return daily.withColumns({c: F.last(c, ignorenulls=True).over(past) for c in columns})
+
+
+def macro_features(
+    macro: DataFrame, series: Sequence[str] | None = tuple(MART_SERIES)
+) -> DataFrame:
+    """Pivot, fill forward over the series' own dates, add the slope of the yield curve.
+
+    ``series=None`` takes every series of the table; a list that leaves some out says so in a
+    warning. Series are a few names, however many observations they have."""
+    found = macro.filter(F.col("series_id").isNotNull()).select("series_id").distinct()
+    names = sorted(r[0] for r in found.collect())
+    if series is None:
+        series = names
+    elif others := sorted(set(names) - set(series)):
+        warnings.warn(f"series not among the features: {', '.join(others)}", stacklevel=2)
+    filled = fill_calendar(pivot_series(macro, series), series)
     return filled.withColumn("yield_curve_slope", slope(filled))
 
 
@@ -89,17 +104,8 @@ def macro_daily(
 
     A print on a day without any price is not seen, as the grid holds price dates only.
     """
-    dates = price_dates.select("date").distinct()
-    series = macro.select("series_id").distinct()
-    grid = dates.crossJoin(broadcast_if_small(series, 10_000))
-    observed = grid.join(macro.select("date", "series_id", "value"), ["date", "series_id"], "left")
-    # at most one calendar per series
-    past = (
-        Window.partitionBy("series_id")
-        .orderBy("date")
-        .rowsBetween(Window.unboundedPreceding, 0)
-    )
-    filled = observed.withColumn("value", F.last("value", ignorenulls=True).over(past))
-    daily = pivot_series(filled, list(columns), strict=False)
+    printed = pivot_series(macro, list(columns), strict=False)
+    known = price_dates.select("date").distinct().join(printed, "date", "left")
+    daily = fill_calendar(known, list(columns))
     daily = daily.withColumn("yield_curve_slope", slope(daily))
     return daily.withColumnsRenamed(dict(columns))

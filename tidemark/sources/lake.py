@@ -106,8 +106,11 @@ class Lake:
         for layer, name in found:
             table = f"{prefix}{name}" if names.count(name) == 1 else f"{prefix}{layer}_{name}"
             table = table.replace("-", "_").replace(".", "_")
-            # external: dropping the entry leaves the files alone
-            self.spark.sql(f"DROP TABLE IF EXISTS {table}")
+            # external: dropping the entry leaves the files alone, which a managed one would lose
+            if self.spark.catalog.tableExists(table):
+                if self.spark.catalog.getTable(table).tableType == "MANAGED":
+                    raise ValueError(f"{table} is a managed table of that name")
+                self.spark.sql(f"DROP TABLE {table}")
             self.spark.catalog.createTable(table, path=self.path(name, layer), source=self.fmt)
             registered.append(table)
         return registered

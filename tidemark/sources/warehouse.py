@@ -39,6 +39,10 @@ def create_statement(schema: T.StructType, table: str, keep: bool = False) -> st
     return f"CREATE TABLE {'IF NOT EXISTS ' if keep else ''}{table} ({column_types(schema)})"
 
 
+class TargetTaken(ValueError):
+    """The target of a load is a table that must not be replaced or extended by it."""
+
+
 def load_table(
     df: DataFrame,
     table: str,
@@ -49,7 +53,7 @@ def load_table(
     """Drop, create and fill, or (``replace=False``) create if needed and append.
 
     Over JDBC the executors insert their partitions in batches; without it the table goes to
-    Spark's own catalog."""
+    Spark's own catalog. A catalog table with other columns is left alone and the load refused."""
     mode = "overwrite" if replace else "append"
     if jdbc:
         types = column_types(df.schema)
@@ -60,13 +64,24 @@ def load_table(
             .save()
         )
     else:
+        spark = df.sparkSession
+        if spark.catalog.tableExists(table) and spark.table(table).dtypes != df.dtypes:
+            raise TargetTaken(f"{table} exists with other columns")
         df.write.mode(mode).saveAsTable(table)
 
 
 def sync(
-    spark: SparkSession, lake: Lake, days: int = 30, replace: bool = True, **options
+    spark: SparkSession, lake: Lake, namespace: str, days: int = 30, replace: bool = True, **options
 ) -> list[str]:
-    """Load the gold tables that exist; one that is missing does not stop the others."""
+    """Load the gold tables that exist into ``namespace``; one that is missing does not stop the
+    others.
+
+    In Spark's own catalog the namespace must not be the current one: the marts are built there
+    under the same names, and a sync would put its last days in their place."""
+    if not options.get("jdbc"):
+        if namespace == spark.catalog.currentDatabase():
+            raise TargetTaken(f"{namespace} holds the tables that are synced")
+        spark.sql(f"CREATE DATABASE IF NOT EXISTS {namespace}")
     loaded = []
     for table, stored in SYNC_TABLES.items():
         if not lake.exists(stored, "gold"):
@@ -74,6 +89,6 @@ def sync(
         df = lake.read(stored, "gold", essential=True)
         if table == "mart_features":
             df = last_days(df, days)
-        load_table(df, table, replace, **options)
+        load_table(df, f"{namespace}.{table}", replace, **options)
         loaded.append(table)
     return loaded

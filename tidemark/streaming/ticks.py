@@ -16,14 +16,19 @@ from tidemark.sources.schemas import TABLES, TICK
 
 KEY = ["symbol", "date"]
 STORE_SCHEMA = TABLES[("gold", "feature_store")]
+ARRIVAL = "_arrival"  # number of the batch that brought a row
 
 
 def file_source(
-    spark: SparkSession, path: str, files_per_batch: int = 10, fmt: str = "text",
+    spark: SparkSession, path: str, files_per_batch: int | None = None, fmt: str = "text",
     schema: str | None = None, pattern: str | None = None,
 ) -> DataFrame:
-    """Files of a landing folder as a stream of lines (``value``) or of typed rows."""
-    reader = spark.readStream.format(fmt).option("maxFilesPerTrigger", files_per_batch)
+    """Files of a landing folder as a stream of lines (``value``) or of typed rows.
+
+    A batch takes all files that are there unless ``files_per_batch`` limits it."""
+    reader = spark.readStream.format(fmt)
+    if files_per_batch:
+        reader = reader.option("maxFilesPerTrigger", files_per_batch)
     if schema:
         reader = reader.schema(schema)
     if pattern:
@@ -31,16 +36,20 @@ def file_source(
     return reader.load(path)
 
 
-def broker_source(spark: SparkSession, servers: str, topic: str, per_batch: int = 10) -> DataFrame:
+def broker_source(
+    spark: SparkSession, servers: str, topic: str, per_batch: int | None = None
+) -> DataFrame:
     """All partitions of a topic from the latest position; a restart goes on from the checkpoint.
 
-    Needs the Kafka connector on the cluster."""
+    A batch takes all there is unless ``per_batch`` limits it. Needs the Kafka connector on the
+    cluster."""
+    limit = {"maxOffsetsPerTrigger": per_batch} if per_batch else {}
     return (
         spark.readStream.format("kafka")
         .option("kafka.bootstrap.servers", servers)
         .option("subscribe", topic)
         .option("startingOffsets", "latest")
-        .option("maxOffsetsPerTrigger", per_batch)
+        .options(**limit)
         .load()
         .select(F.col("value").cast("string").alias("value"))
     )
@@ -84,13 +93,19 @@ class TickStore:
         self.spark, self.root = spark, root.rstrip("/")
 
     def write_batch(self, batch: DataFrame, batch_id: int) -> None:
-        """Good rows to the store, others to ``rejected``; both folders carry the batch id."""
-        ticks = decode(batch) if "value" in batch.columns else batch
-        good = newest_per_key(to_items(ticks.filter(is_valid())))
-        good.write.mode("overwrite").parquet(f"{self.root}/log/batch={batch_id}")
-        if "value" in ticks.columns:
-            bad = ticks.filter(~F.coalesce(is_valid(), F.lit(False))).select("value")
-            bad.write.mode("overwrite").text(f"{self.root}/rejected/batch={batch_id}")
+        """Good rows to the store, others to ``rejected``; both folders carry the batch id.
+
+        The batch is kept for the two writes, so its source is read once."""
+        ticks = (decode(batch) if "value" in batch.columns else batch).persist()
+        try:
+            good = newest_per_key(to_items(ticks.filter(is_valid())))
+            good = good.withColumn(ARRIVAL, F.lit(batch_id).cast("long"))
+            good.write.mode("overwrite").parquet(f"{self.root}/log/batch={batch_id}")
+            if "value" in ticks.columns:
+                bad = ticks.filter(~F.coalesce(is_valid(), F.lit(False))).select("value")
+                bad.write.mode("overwrite").text(f"{self.root}/rejected/batch={batch_id}")
+        finally:
+            ticks.unpersist()
 
     def start(
         self, stream: DataFrame, checkpoint: str, once: bool = False, seconds: int = 1
@@ -103,43 +118,55 @@ class TickStore:
         trigger = {"availableNow": True} if once else {"processingTime": f"{seconds} second"}
         return writer.trigger(**trigger).start()
 
-    def _numbers(self, folder: str, prefix: str) -> list[int]:
+    def _folder(self, name: str):
         jvm = self.spark.sparkContext._jvm
-        path = jvm.org.apache.hadoop.fs.Path(f"{self.root}/{folder}")
-        fs = path.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration())
+        path = jvm.org.apache.hadoop.fs.Path(f"{self.root}/{name}")
+        return path.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration()), path
+
+    def _numbers(self, folder: str, prefix: str, above: int = -1) -> list[int]:
+        """Numbers above a bound whose folders are complete."""
+        fs, path = self._folder(folder)
         if not fs.exists(path):
             return []
-        found = []
-        for status in fs.listStatus(path):
-            name = status.getPath().getName()
-            done = jvm.org.apache.hadoop.fs.Path(status.getPath(), "_SUCCESS")
-            if name.startswith(prefix) and fs.exists(done):
-                found.append(int(name[len(prefix) :]))
-        return sorted(found)
-
-    def _pending(self) -> tuple[list[str], int]:
-        """Folders that make up the store: the newest base and the batches after it."""
+        names = [status.getPath().getName() for status in fs.listStatus(path)]
+        numbers = sorted(int(n[len(prefix) :]) for n in names if n.startswith(prefix))
+        done = (self._folder(f"{folder}/{prefix}{n}/_SUCCESS")[1] for n in numbers if n > above)
+        return [n for n, mark in zip((n for n in numbers if n > above), done) if fs.exists(mark)]
+
+    def _pending(self) -> tuple[list[str], int, int]:
+        """Folders that make up the store (the newest base and the batches after it), the newest
+        number among them, and that of the base."""
         bases = self._numbers("base", "upto=")
         after = bases[-1] if bases else -1
-        batches = [b for b in self._numbers("log", "batch=") if b > after]
+        batches = self._numbers("log", "batch=", after)
         paths = [f"{self.root}/base/upto={after}"] if bases else []
-        return paths + [f"{self.root}/log/batch={b}" for b in batches], (
-            batches[-1] if batches else after
+        return (
+            paths + [f"{self.root}/log/batch={b}" for b in batches],
+            batches[-1] if batches else after,
+            after,
         )
 
+    def _newest(self, paths: list[str]) -> DataFrame:
+        rows = self.spark.read.schema(f"{STORE_SCHEMA}, {ARRIVAL} long").parquet(*paths)
+        return newest_per_key(rows, ARRIVAL)
+
     def read(self) -> DataFrame:
         """Latest item per key; a later batch wins over an earlier one."""
-        paths, _ = self._pending()
-        if not paths:
-            return self.spark.createDataFrame([], STORE_SCHEMA)
-        rows = self.spark.read.schema(STORE_SCHEMA).parquet(*paths)
-        number = F.regexp_extract(F.input_file_name(), r"(?:batch|upto)=(\d+)", 1).cast("long")
-        return newest_per_key(rows.withColumn("_arrival", number), "_arrival")
+        paths, _, _ = self._pending()
+        return self._newest(paths) if paths else self.spark.createDataFrame([], STORE_SCHEMA)
 
     def compact(self) -> int:
-        """Fold all finished batches into a new base; readers switch once it is complete."""
-        _, upto = self._pending()
-        if upto >= 0:
-            self.read().write.mode("overwrite").parquet(f"{self.root}/base/upto={upto}")
+        """Fold all finished batches into a new base; readers switch once it is complete.
+
+        Folders that the base before this one had already replaced are removed, so a reader that
+        listed the store has until the next compaction to finish."""
+        paths, upto, before = self._pending()
+        if upto > before:
+            base = self._newest(paths).withColumn(ARRIVAL, F.lit(upto).cast("long"))
+            base.write.mode("overwrite").parquet(f"{self.root}/base/upto={upto}")
+            old = [f"log/batch={n}" for n in self._numbers("log", "batch=") if n <= before]
+            old += [f"base/upto={n}" for n in self._numbers("base", "upto=") if n < before]
+            for name in old:
+                fs, path = self._folder(name)
+                fs.delete(path, True)
         return upto
-
