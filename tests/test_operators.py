@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from tidemark.functions import scalars, text
 from tidemark.operators import backtest, metrics, models, quality, quantiles, recommend
 from tidemark.operators.dedup import keep_first
-from tidemark.operators.macro import as_of_join, macro_features, pivot_series
+from tidemark.operators.macro import as_of_join, macro_daily, macro_features, pivot_series
 from tidemark.operators.split import chronological_split, walk_forward
 from tidemark.plans import gold, marts, news, overview, silver, training
 from tidemark.sources import landing, reference_data, schemas, warehouse
@@ -29,14 +29,14 @@ def one(spark, column):
 @pytest.mark.parametrize(
     ("title", "description", "tickers", "want"),
     [
-        ("Apple releases new iOS update", "Nothing new here.", ["AAPL", "MSFT", "GOOGL"], "AAPL"),
-        ("Microsoft partners with Alphabet", "the GOOGL market", ["AAPL", "MSFT", "GOOGL"],
-         "MSFT,GOOGL"),
-        ("Unrelated headline here", "Some random description.", ["AAPL", "MSFT"], "AAPL,MSFT"),
-        ("The lawsuit was costly", "A costly mistake.", ["COST", "KO"], "COST,KO"),
-        ("Costco earnings report", "Checking the cost of items.", ["COST", "KO"], "COST"),
-        ("Johnson & Johnson and P&G", None, ["JNJ", "PG", "V"], "JNJ,PG"),
-        (None, "the crypto market", ["BTC", "CRYPTO"], "CRYPTO"),
+        ("Nvidia and AMD both ship", None, ["AMD", "NVDA", "DIS"], "AMD,NVDA"),
+        ("quarterly figures", "sales of Disney+ grew, says DIS", ["CRM", "DIS"], "DIS"),
+        ("Weather tomorrow", "Rain in the north.", ["PEP", "NKE"], "PEP,NKE"),
+        ("The nikes are sold out", "a kodak moment", ["NKE", "KO"], "NKE,KO"),
+        ("Coke or pepsi?", "", ["KO", "PEP", "MCD"], "KO,PEP"),
+        ("P&G, then Johnson & Johnson", None, ["V", "JNJ", "PG"], "JNJ,PG"),
+        (None, "prices of gold: GLD up", ["BTC", "GLD"], "GLD"),
+        ("nothing", None, [], ""),
     ],
 )
 def test_match_tickers(spark, title, description, tickers, want):
@@ -46,61 +46,54 @@ def test_match_tickers(spark, title, description, tickers, want):
 
 
 def test_lexicon(spark):
-    mood = lambda s: one(spark, text.lexicon_sentiment(F.lit(s)))
-    up = mood("Market goes up with growth and profit gains")
-    assert up.label == "Positive" and up.score > 0.5
-    down = mood("Market crash and loss decline slump bearish")
-    assert down.label == "Negative" and down.score > 0.5
-    assert tuple(mood("Unrelated text without keyword")) == ("Neutral", 1.0)
-    assert tuple(mood("gain loss")) == ("Negative", 0.5)
+    mood = lambda s: tuple(one(spark, text.lexicon_sentiment(F.lit(s))))
+    # three positive words against one negative; a repeated word counts once
+    assert mood("rise RISE boost beat then fall") == ("Positive", 0.75)
+    assert mood("plunge miss success") == ("Negative", pytest.approx(2 / 3))
+    assert mood("surge drop") == ("Negative", 0.5)
+    assert mood("") == mood("risen falling") == ("Neutral", 1.0)
 
 
-def four_articles(spark):
+def articles(spark):
     return spark.createDataFrame(
         [
-            ("Apple growth gains", "2026-06-01T12:00:00Z", "AAPL"),
-            ("Bitcoin profit rises", "2026-06-01T14:00:00Z", "BTC"),
-            ("Solana crash", "2026-06-02T10:00:00Z", "SOL"),
-            ("Google profit grows", "2026-06-02T11:00:00Z", "GOOGL"),
+            ("chips boost", "2025-03-04T08:30:00Z", "NVDA, AMD"),
+            ("chips miss and drop", "2025-03-04T21:00:00Z", "AMD"),
+            ("a quiet day", "2025-03-05T00:00:00Z", "AMD"),
         ],
         "title string, published_at string, matched_tickers string",
     )
 
 
 def test_news_sentiment(spark):
-    rows = {r.ticker: r for r in news.news_sentiment(four_articles(spark)).collect()}
-    assert len(rows) == 4
-    assert rows["AAPL"].date == dt.date(2026, 6, 1) and rows["AAPL"].sentiment_net > 0
-    assert rows["SOL"].date == dt.date(2026, 6, 2) and rows["SOL"].sentiment_net < 0
+    rows = {(r.ticker, r.date.day): r for r in news.news_sentiment(articles(spark)).collect()}
+    assert {k: r.sentiment_net for k, r in rows.items()} == {("NVDA", 4): 1.0, ("AMD", 4): 0.0, ("AMD", 5): 0.0}
+    assert rows["AMD", 4].sentiment_neg == 0.5 and rows["AMD", 5].sentiment_neu == 1.0
 
 
 def test_model_scores_fall_back(spark):
     def broken():
         raise RuntimeError("no model")
 
-    rows = text.with_model_scores(four_articles(spark), broken, fallback=text.with_lexicon_scores)
-    assert rows.filter("title = 'Solana crash'").first().sentiment_net == -1.0
+    rows = text.with_model_scores(articles(spark), broken, fallback=text.with_lexicon_scores)
+    assert rows.filter("title like '%miss%'").first().sentiment_net == -1.0
     with pytest.raises(Exception, match="no model"):
-        text.with_model_scores(four_articles(spark), broken).collect()
+        text.with_model_scores(articles(spark), broken).collect()
 
 
 # scalars --------------------------------------------------------------------
 
 
 @pytest.mark.parametrize(
-    ("v", "want"),
-    [(0.01, "Low"), (0.0149, "Low"), (0.015, "Medium"), (0.03, "Medium"), (0.035, "High"),
-     (0.05, "High"), (None, "High")],
-)
+    ("v", "want"), [(0.0, "Low"), (0.0151, "Medium"), (0.029, "Medium"), (0.06, "High"), (None, "High")]
+)
 def test_risk(spark, v, want):
     assert one(spark, scalars.risk_label(F.lit(v).cast("double"))) == want
 
 
 @pytest.mark.parametrize(
-    ("p", "top", "want"),
-    [(0.05, 0.10, 50), (-0.02, 0.08, 25), (0.02, 0.0, 50), (0.02, -0.01, 50), (0.001, 0.10, 10),
-     (0.10, 0.10, 99), (0.12, 0.10, 99)],
-)
+    ("p", "top", "want"), [(0.03, 0.04, 75), (-0.04, 0.05, 80), (0.5, 0.0, 50), (0.0001, 1.0, 10), (2.0, 1.0, 99)]
+)
 def test_confidence(spark, p, top, want):
     assert one(spark, scalars.confidence_score(F.lit(p), F.lit(top))) == pytest.approx(want)
 
@@ -121,24 +114,27 @@ def passed(df, rules):
     return quality.all_passed(quality.run_suite(df, rules))
 
 
-def test_write_suites(spark):
-    stocks = "symbol string, timestamp string, close double, volume long, sector string, industry string"
-    good = [("AAPL", "2026-06-01", 150.0, 1, "T", "S"), ("MSFT", "2026-06-02", 420.0, 2, "T", "S")]
-    df = spark.createDataFrame(good, stocks)
-    assert passed(df, quality.write_suite("stocks"))
-    assert not passed(df.drop("sector", "industry"), quality.write_suite("stocks"))
-    crypto = "symbol string, timestamp string, close double, volume double"
-    assert passed(spark.createDataFrame([("BTC/USD", "2026-06-01", 64000.0, 5.5)], crypto),
-                  quality.write_suite("crypto"))
-    assert not passed(spark.createDataFrame([("BTC/USD", "2026-06-01", 1e-7, 0.0)], crypto),
-                      quality.write_suite("crypto"))
-    macro = "series_id string, date string, value double"
-    for series, want in (("FEDFUNDS", True), (None, False)):
-        df = spark.createDataFrame([(series, "2026-06-01", 5.25)], macro)
-        assert passed(df, quality.write_suite("macro")) is want
-    for title, want in (("Gains", True), (None, False)):
-        df = spark.createDataFrame([(title, "2026-06-01", "u")], "title string, published_at string, url string")
-        assert passed(df, quality.write_suite("news")) is want
+SUITE_ROWS = {
+    "stocks": ("symbol string, timestamp string, close double, volume long, sector string, industry string",
+               ("X1", "2020-02-03", 7.5, 12, "s", "i")),
+    "crypto": ("symbol string, timestamp string, close double, volume double", ("Q/USD", "2020-02-03", 0.25, 8.0)),
+    "macro": ("series_id string, date string, value double", ("ABC", "2020-02-03", -1.0)),
+    "news": ("title string, published_at string, url string", ("words", "2020-02-03", "x://y")),
+}
+
+
+@pytest.mark.parametrize(
+    ("table", "spoil"),
+    [("stocks", {"drop": ["industry"]}), ("stocks", {"symbol": None}), ("crypto", {"close": 5e-8}),
+     ("macro", {"series_id": None}), ("news", {"title": None})],
+)
+def test_write_suites(spark, table, spoil):
+    schema, row = SUITE_ROWS[table]
+    df = spark.createDataFrame([row], schema)
+    assert passed(df, quality.write_suite(table))
+    for name, value in spoil.items():
+        df = df.drop(*value) if name == "drop" else df.withColumn(name, F.lit(value).cast(df.schema[name].dataType))
+    assert not passed(df, quality.write_suite(table))
 
 
 def test_nulls_in_thresholds(spark):
@@ -249,8 +245,18 @@ def test_whole_lake(spark, tmp_path):
     names = marts.build_marts(spark, lake)
     assert spark.table("mart_features").count() == 120
     assert spark.table("mart_sector_perf").filter("sector = 'Crypto'").count() == 40
-    loaded = warehouse.sync(spark, lake)
-    assert loaded == ["mart_features"] and spark.table("mart_features").count() == 93
+    with pytest.raises(warehouse.TargetTaken, match="default"):
+        warehouse.sync(spark, lake, "default")
+    assert warehouse.sync(spark, lake, "loaded") == ["mart_features"]
+    assert warehouse.sync(spark, lake, "loaded") == ["mart_features"]  # replaced by its like
+    assert spark.table("loaded.mart_features").count() == 93 and spark.table("mart_features").count() == 120
+    with pytest.raises(warehouse.TargetTaken, match="other columns"):
+        warehouse.load_table(spark.table("mart_sector_perf"), "loaded.mart_features")
+    with pytest.raises(ValueError, match="managed"):
+        lake.write(spark.range(1), "mart_sector_perf", "gold")
+        lake.discover("")
+    assert spark.table("mart_sector_perf").count() > 1
+    spark.sql("DROP DATABASE loaded CASCADE")
     for name in reversed(names):
         kind = "TABLE" if name.startswith("mart") else "VIEW"
         spark.sql(f"DROP {kind} IF EXISTS {name}")
@@ -276,7 +282,20 @@ def test_macro_slope_and_duplicates(spark):
     assert [r.yield_curve_slope for r in out] == [pytest.approx(0.2)] * 2
     with pytest.raises(Exception, match="two values"):
         pivot_series(df.unionByName(df), ["DGS10"]).collect()
-    assert macro_features(df, ["DGS10"]).first().yield_curve_slope is None
+    with pytest.warns(UserWarning, match="DGS2"):
+        assert macro_features(df, ["DGS10"]).first().yield_curve_slope is None
+    assert macro_features(df.replace("DGS2", "OTHER"), None).columns == ["date", "DGS10", "OTHER", "yield_curve_slope"]
+
+
+def test_daily_macro_has_no_grid(spark):
+    day = lambda *d: spark.createDataFrame([(dt.date(2024, 1, x),) for x in d], "date date")
+    rows = [(dt.date(2024, 1, d), s, v) for d, s, v in ((1, "GDP", 1.0), (2, "GDP", 2.0), (3, "DGS10", 4.0), (3, "DGS2", 3.0))]
+    macro = spark.createDataFrame(rows, "date date, series_id string, value double")
+    out = macro_daily(day(1, 3, 4, 4), macro)
+    assert [(r.date.day, r.gdp, r.yield_curve_slope) for r in out.orderBy("date").collect()] == [
+        (1, 1.0, None), (3, 1.0, 1.0), (4, 1.0, 1.0)]
+    plan = out._jdf.queryExecution().executedPlan().toString()
+    assert "NestedLoop" not in plan and "Cartesian" not in plan
 
 
 def test_as_of(spark):
@@ -330,22 +349,23 @@ def scored(spark, n, seed=5):
     return frame, spark.createDataFrame(frame)
 
 
-@pytest.mark.parametrize("n", [19, 20, 21, 400])
-def test_simulated_sharpe(spark, n):
-    frame, df = scored(spark, n)
-    y, p, profit = frame.y.to_numpy(), frame.p.to_numpy(), []
-    for i in range(0, n - 20, 20):
-        order = np.argsort(p[i : i + 20], kind="stable")
-        profit.append(y[i : i + 20][order[10:]].mean() - y[i : i + 20][order[:10]].mean())
-    got = metrics.simulated_sharpe(df).first().sharpe
-    if n < 20:
-        assert got == 0.0
-    elif n == 20:
-        assert got is None
-    else:
-        std = np.std(profit)
-        want = 0.0 if std < 1e-8 else np.mean(profit) / std * np.sqrt(252 / 20)
-        assert got == pytest.approx(want)
+def blocks(spark, spreads, extra=1):
+    """Twenty rows per block: the higher half of the predictions earns ``spread`` more."""
+    rows, day = [], dt.date(2020, 1, 1)
+    for k in range(20 * len(spreads) + extra):
+        upper = k % 2
+        gain = spreads[k // 20] if k < 20 * len(spreads) else 0.0
+        rows.append((day + dt.timedelta(k), "A", 0.5 + gain * upper, upper + k % 20 / 100))
+    return spark.createDataFrame(rows, "date date, symbol string, y double, p double")
+
+
+def test_simulated_sharpe(spark):
+    sharpe = lambda *a, **k: metrics.simulated_sharpe(blocks(spark, *a, **k)).first().sharpe
+    # mean 2 and deviation 1 of the spreads, 252 / 20 blocks a year
+    assert sharpe([1.0, 3.0]) == pytest.approx(2 * (252 / 20) ** 0.5)
+    assert sharpe([-3.0, -1.0, -3.0, -1.0]) == pytest.approx(-2 * (252 / 20) ** 0.5)
+    assert sharpe([2.0, 2.0, 2.0]) == 0.0  # no deviation
+    assert sharpe([], extra=19) == 0.0 and sharpe([], extra=20) is None
 
 
 def test_rank_correlation(spark):
@@ -367,6 +387,12 @@ def test_ridge_equals_closed_form(spark):
     assert list(model.coefficients) == pytest.approx(want.tolist(), rel=1e-6)
 
 
+def test_every_tree_may_use_every_input(spark):
+    rows = [(float(i), float(i % 7), float(i % 3), float(i)) for i in range(50)]
+    model = models.fit_forest(spark.createDataFrame(rows, "a double, b double, c double, t double"), ["a", "b", "c"], "t")
+    assert model.getFeatureSubsetStrategy() == "all" and model.getNumTrees == 100
+
+
 def feature_table(spark, days=60, symbols=12, seed=2):
     rng = np.random.default_rng(seed)
     rows = []
@@ -398,50 +424,42 @@ def test_training_chain(spark):
 # backtest, recommendations ----------------------------------------------------
 
 
-def day_loop(frame, top=2, bottom=2, every=5, bps=5.0, start=100_000.0):
-    """Plain statement of the strategy, one day after the other."""
-    value, market, held, out = start, start, {}, []
-    for k, (day, g) in enumerate(sorted(frame.groupby("date"))):
-        if len(g) >= top + bottom:
-            ret = dict(zip(g.symbol, g.return_1d.fillna(0.0)))
-            market *= 1 + np.mean(list(ret.values()))
-            if k % every == 0:
-                g = g.sort_values(["predicted_return", "symbol"])
-                new = {s: 1 / top for s in g.symbol.tail(top)}
-                new |= {s: -1 / bottom for s in g.symbol.head(bottom)}
-                moved = sum(abs(new.get(s, 0) - held.get(s, 0)) for s in new | held)
-                value -= value * moved * bps / 1e4
-                held = new
-            value *= 1 + sum(w * ret.get(s, 0.0) for s, w in held.items())
-        out.append((day, value, market))
-    return pd.DataFrame(out, columns=["date", "p", "b"])
-
-
-def test_backtest_equals_the_day_loop(spark):
-    rng = np.random.default_rng(11)
+def test_backtest_by_hand(spark):
+    """Two assets held long, two short, every fifth day; 10 basis points; the figures by hand."""
+    day = lambda d: dt.date(2024, 1, 1) + dt.timedelta(d)
     rows = []
-    for d in range(47):
-        n = 3 if d in (0, 10, 23) else 9  # too few assets on two rebalance days
-        for i in rng.choice(12, n, replace=False):
-            r = None if rng.random() < 0.1 else float(rng.normal(0, 0.02))
-            rows.append((dt.date(2024, 1, 1) + dt.timedelta(d), f"s{i:02d}", float(rng.integers(0, 4)), r))
-    schema = "date date, symbol string, predicted_return double, return_1d double"
-    df = spark.createDataFrame(rows, schema)
-    rules = backtest.Rules(top_n=2, bottom_n=2)
-    report = backtest.backtest(df, rules)
-    got = report.orderBy("date").toPandas()
-    want = day_loop(pd.DataFrame(rows, columns=["date", "symbol", "predicted_return", "return_1d"]))
-    np.testing.assert_allclose(got.portfolio_value, want.p, rtol=1e-12)
-    np.testing.assert_allclose(got.benchmark_value, want.b, rtol=1e-12)
-    s = backtest.statistics(report).first()
-    eq = want.p.to_numpy()
-    r = np.diff(eq) / eq[:-1]
-    r[np.abs(r) < 1e-14] = 0
-    assert s.sharpe == pytest.approx(r.mean() / r.std() * np.sqrt(252))
-    assert s.sortino == pytest.approx(r.mean() / r[r < 0].std() * np.sqrt(252))
-    assert s.max_drawdown == pytest.approx(((eq - np.maximum.accumulate(eq)) / np.maximum.accumulate(eq)).min())
-    assert s.win_rate == pytest.approx((r > 0).mean())
-    assert s.cagr == pytest.approx((eq[-1] / 1e5) ** (252 / 47) - 1)
+    for d in range(7):
+        rank = {"a": 4, "b": 3, "c": 2, "d": 1} if d < 5 else {"a": 1, "b": 3, "c": 2, "d": 4}
+        gain = {"a": 0.02, "b": 0.0, "c": None, "d": -0.02}
+        names = "abc" if d == 3 else "abcd"  # day 3 has too few assets to trade
+        rows += [(day(d), s, float(rank[s]), gain[s]) for s in names]
+    df = spark.createDataFrame(rows, "date date, symbol string, predicted_return double, return_1d double")
+    rules = backtest.Rules(start=1000.0, cost_bps=10.0, top_n=2, bottom_n=2)
+    report = backtest.backtest(df, rules).orderBy("date").collect()
+    # days 0 to 4 hold a, b long and c, d short at a half each: 2 % a day, turnover 2 at first;
+    # on day 5 a and d change sides: turnover 2, and the book loses 2 % a day
+    value, want = 1000.0, []
+    for d in range(7):
+        if d in (0, 5):
+            value *= 1 - 2 * 0.001
+        value *= 1 if d == 3 else 1.02 if d < 5 else 0.98
+        want.append(value)
+    np.testing.assert_allclose([r.portfolio_value for r in report], want, rtol=1e-12)
+    np.testing.assert_allclose([r.benchmark_value for r in report], [1000.0] * 7, rtol=1e-12)
+    late = backtest.backtest(df, backtest.Rules(start=1000.0, cost_bps=10.0, top_n=2, bottom_n=2, lag_signal=True))
+    first = late.orderBy("date").first()  # the first day has no signal of a day before
+    assert first.date == day(1) and first.portfolio_value == pytest.approx(1000 * (1 - 2 * 0.001) * 1.02)
+
+
+def test_statistics_by_hand(spark):
+    """Equity 100, 110, 99, 108.9: returns 10 %, -10 %, 10 %."""
+    rows = [(dt.date(2024, 1, 1 + k), v, 100.0) for k, v in enumerate((100.0, 110.0, 99.0, 108.9))]
+    days = spark.createDataFrame(rows, "date date, portfolio_value double, benchmark_value double")
+    s = backtest.statistics(days, 100.0).first()
+    spread = (2 * (0.1 - 0.1 / 3) ** 2 + (0.1 + 0.1 / 3) ** 2) / 3
+    assert s.sharpe == pytest.approx(0.1 / 3 / spread**0.5 * 252**0.5)
+    assert s.max_drawdown == pytest.approx(-0.1) and s.win_rate == pytest.approx(2 / 3)
+    assert s.cagr == pytest.approx(1.089 ** (252 / 4) - 1)
 
 
 def test_picks_are_limited_before_the_shuffle(spark):
@@ -482,7 +500,7 @@ def tick(symbol, price, stamp):
 
 
 def test_tick_stream(spark, tmp_path):
-    landing_dir, root = tmp_path / "in", str(tmp_path / "store")
+    landing_dir, root = tmp_path / "in", str(tmp_path / "batch=9" / "store")
     landing_dir.mkdir()
     (landing_dir / "1.json").write_text("\n".join([
         tick("AAPL", 10, "2026-07-01T10:00:00"), tick("AAPL", 11, "2026-07-01T10:00:05"),
@@ -508,7 +526,12 @@ def test_tick_stream(spark, tmp_path):
     store.compact()
     assert {(r.symbol, r.date): r.price for r in store.read().collect()} == want
     (landing_dir / "3.json").write_text(tick("MSFT", 7, "2026-07-01T09:00:00"))
-    assert drain() == {**want, ("MSFT", "2026-07-01"): 7.0}
+    want = {**want, ("MSFT", "2026-07-01"): 7.0}
+    assert drain() == want
+    # what a base replaced goes with the next one
+    assert store.compact() == 2 and store.compact() == 2
+    assert sorted(p.name for p in (tmp_path / "batch=9/store/log").iterdir()) == ["batch=2"]
+    assert {(r.symbol, r.date): r.price for r in store.read().collect()} == want
     assert overview.live_ticks(store.read()).first().last_updated == "2026-07-01 09:00:00"
 
 

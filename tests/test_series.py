@@ -1,4 +1,4 @@
-"""Series operators against pandas, in the plain and in the segmented layout."""
+"""Series operators against their definitions, in the plain and in the segmented layout."""
 
 import numpy as np
 import pandas as pd
@@ -26,30 +26,55 @@ def walk(n_rows, symbols=("A", "B"), seed=1):
     return pd.concat(frames, ignore_index=True)
 
 
-def pandas_indicators(frame):
-    out = []
-    for _, g in frame.groupby("symbol"):
-        g = g.sort_values("timestamp").copy()
-        c, v = g.close, g.volume
-        d = c.diff()
-        up = d.clip(lower=0).ewm(com=13, adjust=False).mean()
-        down = (-d.clip(upper=0)).ewm(com=13, adjust=False).mean()
-        g["rsi_14"] = 100 - 100 / (1 + up / (down + 1e-9))
-        g["macd"] = c.ewm(span=12, adjust=False).mean() - c.ewm(span=26, adjust=False).mean()
-        g["macd_signal"] = g.macd.ewm(span=9, adjust=False).mean()
-        for n in (20, 50, 200):
-            g[f"sma_{n}"] = c.rolling(n).mean()
-        r = c.pct_change()
-        g["return_1d"] = r
-        g["volatility_20d"] = r.rolling(20).std()
-        g["vol_regime_ratio"] = r.rolling(5).std() / (r.rolling(60).std() + 1e-9)
-        g["bb_upper"] = c.rolling(20).mean() + 2 * c.rolling(20).std()
-        g["volume_ratio"] = v / (v.rolling(20).mean() + 1e-9)
-        low, high = c.rolling(252, min_periods=20).min(), c.rolling(252, min_periods=20).max()
-        g["price_position_52w"] = (c - low) / (high - low + 1e-9)
-        g["target_smooth_return"] = sum(c.shift(-n) / c - 1 for n in (3, 5, 10)) / 3
-        out.append(g)
-    return pd.concat(out)
+def smoothed(x, weight):
+    """y[0] = x[0], then y[k] = y[k-1] + weight * (x[k] - y[k-1])."""
+    y = np.array(x, float)
+    for k in range(1, len(y)):
+        y[k] = y[k - 1] + weight * (x[k] - y[k - 1])
+    return y
+
+
+def over(x, n, what, least=None):
+    """``what`` of each slice of ``n`` entries that ends at a row, once ``least`` of them exist."""
+    least = n if least is None else least
+    parts = [x[max(0, k + 1 - n) : k + 1] for k in range(len(x))]
+    return np.array([what(p) if len(p) >= least and not np.isnan(p).any() else np.nan for p in parts], float)
+
+
+def deviation(p):
+    return np.std(p, ddof=1)
+
+
+def symbol_indicators(c, v):
+    """The indicators of one series from their definitions."""
+    tiny, n = 1e-9, len(c)
+    step = np.diff(c, prepend=c[:1])
+    seed = slice(1, None)  # the first row has no change
+    gain, loss = np.full(n, np.nan), np.full(n, np.nan)
+    if n > 1:
+        gain[seed] = smoothed(np.maximum(step[seed], 0), 1 / 14)
+        loss[seed] = smoothed(np.maximum(-step[seed], 0), 1 / 14)
+    out = {"rsi_14": 100 - 100 * (loss + tiny) / (loss + tiny + gain)}
+    out["macd"] = smoothed(c, 2 / 13) - smoothed(c, 2 / 27)
+    out["macd_signal"] = smoothed(out["macd"], 2 / 10)
+    out |= {f"sma_{k}": over(c, k, np.mean) for k in (20, 50, 200)}
+    change = np.full(n, np.nan)
+    change[1:] = c[1:] / c[:-1] - 1
+    out["return_1d"] = change
+    out["volatility_20d"] = over(change, 20, deviation)
+    out["vol_regime_ratio"] = over(change, 5, deviation) / (over(change, 60, deviation) + tiny)
+    out["bb_upper"] = over(c, 20, lambda p: np.mean(p) + 2 * deviation(p))
+    out["volume_ratio"] = v / (over(v, 20, np.mean) + tiny)
+    out["price_position_52w"] = over(c, 252, lambda p: (p[-1] - p.min()) / (p.max() - p.min() + tiny), 20)
+    ahead = [np.append(c[k:], np.full(min(k, n), np.nan))[:n] / c - 1 for k in (3, 5, 10)]
+    out["target_smooth_return"] = np.mean(ahead, axis=0)
+    return out
+
+
+def plain_indicators(frame):
+    parts = [g.assign(**symbol_indicators(g.close.to_numpy(), g.volume.to_numpy()))
+             for _, g in frame.sort_values("timestamp").groupby("symbol")]
+    return pd.concat(parts)
 
 
 COLUMNS = ["rsi_14", "macd", "macd_signal", "sma_20", "sma_50", "sma_200", "return_1d",
@@ -60,14 +85,14 @@ COLUMNS = ["rsi_14", "macd", "macd_signal", "sma_20", "sma_50", "sma_200", "retu
 def compare(spark, frame, layout):
     got = technical_indicators(spark.createDataFrame(frame), "timestamp", layout).toPandas()
     got = got.sort_values(["symbol", "timestamp"]).reset_index(drop=True)
-    want = pandas_indicators(frame).sort_values(["symbol", "timestamp"]).reset_index(drop=True)
+    want = plain_indicators(frame).sort_values(["symbol", "timestamp"]).reset_index(drop=True)
     assert len(got) == len(want)
     for c in COLUMNS:
         np.testing.assert_allclose(got[c].astype(float), want[c], rtol=1e-9, atol=1e-9, err_msg=c)
 
 
 @pytest.mark.parametrize("rows", [1, 2, 20, 21, 253, 700])
-def test_indicators_equal_pandas(spark, rows):
+def test_indicators_equal_their_definitions(spark, rows):
     compare(spark, walk(rows), None)
 
 

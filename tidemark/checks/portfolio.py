@@ -7,7 +7,7 @@ import uuid
 from pyspark.sql import functions as F
 
 from tidemark.checks import views
-from tidemark.checks.market import _full_windows, mart_from
+from tidemark.checks.market import FRAGMENT_SQL, _full_windows, mart_from, scored_by_tokens
 from tidemark.checks.views import rnd, rounded, rounded_col, sql
 from tidemark.functions.scalars import inferred_asset_class
 from tidemark.operators import backtest as bt
@@ -15,7 +15,7 @@ from tidemark.operators import metrics, models, recommend
 from tidemark.operators.quantiles import exact_quantiles
 from tidemark.operators.split import chronological_split, chronology, walk_forward
 from tidemark.operators.technical import technical_indicators
-from tidemark.plans import overview, training
+from tidemark.plans import gold, overview, training
 from tidemark.scale import ensure_checkpoint_dir, freeze
 from tidemark.sources.reference_data import pairs
 from tidemark.streaming import ticks
@@ -250,17 +250,20 @@ def forest(spark, sf):
     return models.score(model, found.test, found.features).select("symbol", "date", "predicted_return")
 
 
+# the second set of tree parameters: deeper trees
+VARIANTS = ({}, {"depth": 6})
+
+
 @register("m7_m8_boosted_ensemble")
 def boosted(spark, sf):
     rows, layout = features(spark, sf)
     found = models.preprocess(rows, INPUTS, layout=layout)
     train = freeze(found.train)
     cut = chronology(train, lambda n: [int(n * 0.85)]).cuts[0]
-    trees = models.fit_boosted(
-        train.withColumn("late", ~cut.before()), found.features, rounds=10, validation="late"
-    )
+    flagged = freeze(train.withColumn("late", ~cut.before()))
+    trees = [models.fit_boosted(flagged, found.features, validation="late", **v) for v in VARIANTS]
     line = models.fit_ridge(train, found.features)
-    out = models.ensemble_score([line, trees], found.test, found.features)
+    out = models.ensemble_score([line, *trees], found.test, found.features)
     return out.select("symbol", "date", "predicted_return")
 
 
@@ -269,23 +272,28 @@ def searched(spark, sf):
     rows, layout = features(spark, sf)
     found = models.preprocess(rows, INPUTS, layout=layout)
     _, trials = models.search(
-        freeze(found.train), found.features, models.fit_ridge, models.RIDGE_RANGES, trials=2, folds=2
+        freeze(found.train), found.features, models.fit_ridge, models.RIDGE_RANGES
     )
     return trials.select("trial", F.col("params")["alpha"].alias("alpha"), "cv_sharpe")
 
 
+def gold_table(spark, sf):
+    """The whole gold table with every input of the models."""
+    layout = views.price_layout(spark, sf)
+    tables = (view(spark, sf) for view in (views.stocks, views.crypto, views.macro, views.news))
+    return freeze(gold.gold_features(*tables, score=scored_by_tokens, layout=layout)), layout
+
+
 @register("c13_model_backtest")
 def model_backtest(spark, sf):
-    rows, layout = features(spark, sf)
-    out = training.run_backtest(rows, layout=layout, fits=(models.fit_ridge,), wanted=INPUTS)
-    return rounded(out, 2)
+    rows, layout = gold_table(spark, sf)
+    return rounded(training.run_backtest(rows, layout=layout), 2)
 
 
 @register("c14_model_recommendations")
 def model_recommendations(spark, sf):
-    rows, layout = features(spark, sf)
-    assessed = freeze(training.assess_latest(rows, layout, wanted=INPUTS))
-    return recommend.recommendations(assessed)
+    rows, layout = gold_table(spark, sf)
+    return recommend.recommendations(freeze(training.assess_latest(rows, layout)))
 
 
 # ---------------------------------------------------------------------------
@@ -349,6 +357,24 @@ def backtest_days(spark, sf):
         "benchmark_return"), 6)
 
 
+_LAGGED = """
+    , late AS (SELECT date, symbol, return_1d, lag(return_20d) OVER (PARTITION BY symbol ORDER BY date) AS signal
+               FROM feat WHERE return_20d IS NOT NULL)
+""" + _BT.replace("return_20d AS predicted_return, return_1d FROM feat\n             WHERE return_20d IS NOT NULL",
+                  "signal AS predicted_return, return_1d FROM late WHERE signal IS NOT NULL")
+assert "FROM late" in _LAGGED
+
+
+@register(
+    "b_lag_signal",
+    sql(FEATURES_SQL + _LAGGED + f"""SELECT date, {rnd("turnover")} AS turnover, {rnd("r")} AS strategy_return
+        FROM days""", "prices"),
+)
+def lagged_backtest(spark, sf):
+    out = bt.backtest_days(backtest_input(spark, sf), bt.Rules(lag_signal=True))
+    return rounded(out.select("date", "turnover", "strategy_return"), 6)
+
+
 @register(
     "b3_weights",
     sql(FEATURES_SQL + _BT + "SELECT CAST(idx AS INTEGER) AS day_index, symbol,"
@@ -510,11 +536,14 @@ _MARKET = _full_windows("""
 
 @register(
     "a7_snapshot",
-    sql(_MARKET + """SELECT count(*) FILTER (WHERE asset_class = 'equity') AS n_equities,
-        count(*) FILTER (WHERE asset_class = 'crypto') AS n_crypto FROM mkt""", "prices"),
+    sql(FRAGMENT_SQL + _MARKET + f"""SELECT count(*) FILTER (WHERE asset_class = 'equity') AS n_equities,
+        count(*) FILTER (WHERE asset_class = 'crypto') AS n_crypto,
+        {rnd("avg(coalesce(sentiment_net, 0))")} AS avg_sentiment
+        FROM mkt LEFT JOIN mart_news n ON n.symbol = mkt.symbol AND n.date = (SELECT max(date) FROM g)""",
+        "prices", "articles"),
 )
 def snapshot(spark, sf):
-    return overview.snapshot(market(spark, sf)).drop("avg_sentiment")
+    return overview.snapshot(market(spark, sf)).withColumn("avg_sentiment", rounded_col("avg_sentiment", 6))
 
 
 @register(

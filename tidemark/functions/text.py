@@ -96,7 +96,7 @@ def match_tickers(
     the row, so there is nothing to shuffle. The pattern of a keyword ticker is a literal, which
     is compiled once for the job; only other candidates need a pattern of their own.
     """
-    text = article_text(title, description)
+    text, query_tickers = article_text(title, description), query_tickers.cast("array<string>")
     own = lambda t: F.concat(F.lit(r"(?U)\b\Q"), F.lower(t), F.lit(r"\E\b"))
     found = F.array(*[
         F.when(F.array_contains(query_tickers, t) & F.rlike(text, F.lit(_any_keyword(words))), F.lit(t))

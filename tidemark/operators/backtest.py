@@ -27,6 +27,7 @@ class Rules:
     top_n: int = 5
     bottom_n: int = 5
     every: int = 5
+    lag_signal: bool = False  # trade on the prediction of the asset's row before; the first has none
 
 
 def trading_calendar(predictions: DataFrame, rules: Rules = Rules()) -> DataFrame:
@@ -111,6 +112,11 @@ def day_returns(predictions: DataFrame, calendar: DataFrame, weights: DataFrame)
 
 def backtest_days(predictions: DataFrame, rules: Rules = Rules()) -> DataFrame:
     """Calendar with turnover, returns and both curves."""
+    if rules.lag_signal:
+        # an asset has one row per day, so its window is a calendar at most
+        before = F.lag("predicted_return").over(Window.partitionBy("symbol").orderBy("date"))
+        predictions = predictions.withColumn("predicted_return", before)
+        predictions = predictions.filter(F.col("predicted_return").isNotNull())
     calendar = freeze(trading_calendar(predictions, rules))
     weights = freeze(target_weights(predictions, calendar, rules))
     moved = turnover(weights, calendar)
@@ -138,7 +144,7 @@ def backtest(predictions: DataFrame, rules: Rules = Rules()) -> DataFrame:
     """Report with date, portfolio_value and benchmark_value.
 
     ``predictions`` has date, symbol, predicted_return, return_1d, each (date, symbol) once. As in
-    the reference, a day's prediction earns that same day's return."""
+    the reference, a day's prediction earns that same day's return, unless ``lag_signal`` is set."""
     return backtest_days(predictions, rules).select("date", "portfolio_value", "benchmark_value")
 
 

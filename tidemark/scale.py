@@ -7,6 +7,7 @@ sorts a whole table in one task, collects a group, or relies on executor-local s
 from __future__ import annotations
 
 import tempfile
+import uuid
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
@@ -31,9 +32,14 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
 
 
 def freeze(df: DataFrame) -> DataFrame:
-    """Write an intermediate to the checkpoint folder once and read it back from there."""
-    ensure_checkpoint_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
+    """Write an intermediate to the checkpoint folder once and read it back from there.
+
+    Parquet, so that later passes read the columns and row groups they need and no more. The
+    files stay until the checkpoint folder is emptied.
+    """
+    path = f"{ensure_checkpoint_dir(df.sparkSession).rstrip('/')}/frozen-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
 def fits_broadcast(df: DataFrame, max_rows: int = BROADCAST_ROWS) -> bool:
