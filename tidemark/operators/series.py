@@ -14,7 +14,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tidemark.scale import broadcast_if_small, global_position
+from tidemark.scale import broadcast_if_small, freeze, global_position
 
 MAX_SERIES_ROWS = 1_000_000
 SEGMENT_ROWS = 65_536
@@ -268,7 +268,7 @@ def forward_fill(
         _SEGMENT,
         *[F.last(f"_end_{c}", ignorenulls=True).over(before).alias(f"_in_{c}") for c in columns],
     )
-    joined = local.join(broadcast_if_small(carry), [key, _SEGMENT], "left")
+    joined = local.join(broadcast_if_small(freeze(carry)), [key, _SEGMENT], "left")
     return joined.withColumns({c: F.coalesce(c, f"_in_{c}") for c in columns}).drop(
         _SEGMENT, *[f"_in_{c}" for c in columns]
     )
