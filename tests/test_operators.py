@@ -146,6 +146,14 @@ def test_nulls_in_thresholds(spark):
     ]
 
 
+def test_a_raising_rule_is_a_failed_row(spark):
+    df = spark.createDataFrame([("7",), ("x",)], "x string")
+    broken = quality.Rule("number", "row", ("x",), F.col("x").cast("int") < 0)
+    report = quality.run_suite(df, [quality.not_null("x"), broken, quality.unique("x")])
+    assert [(r.rule, r.passed, r.failures) for r in report.orderBy("position").collect()] == [
+        ("not_null(x)", True, 0), ("number", False, None), ("unique(x)", True, 0)]
+
+
 def test_missing_optional_layer_table(spark):
     df = spark.createDataFrame([("s", dt.date(2020, 1, 1), 1.0)], "series_id string, date date, value double")
     report = quality.run_layers({("silver", "news"): None, ("silver", "macro"): df,

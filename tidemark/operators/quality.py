@@ -8,6 +8,7 @@ from __future__ import annotations
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass, field
 
+from pyspark.errors import PySparkException
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -88,8 +89,29 @@ def _row(position: int, rule: Rule, passed: Column, failures: Column) -> Column:
     )
 
 
+REPORT = "position int, rule string, passed boolean, failures long"
+
+
 def run_suite(df: DataFrame, rules: Sequence[Rule]) -> DataFrame:
-    """Report with one row per rule. A rule on a column that is missing fails (unless optional)."""
+    """Report with one row per rule. A rule on a column that is missing fails (unless optional).
+
+    The rows are checked in one pass. If that raises, each rule is run alone, and one that raises
+    is a failed row with unknown failures; the report is one row per rule, so it is collected."""
+    try:
+        rows = [tuple(r) for r in planned(df, rules).collect()]
+    except PySparkException:
+        rows = []
+        for i, rule in enumerate(rules):
+            try:
+                found = planned(df, [rule]).first()
+                rows.append((i, rule.name, found.passed, found.failures))
+            except PySparkException:
+                rows.append((i, rule.name, False, None))
+    return df.sparkSession.createDataFrame(rows, REPORT)
+
+
+def planned(df: DataFrame, rules: Sequence[Rule]) -> DataFrame:
+    """The report of ``run_suite`` as a plan."""
     rows_in_one_pass: list[Column] = []
     reports: list[DataFrame] = []
     for i, rule in enumerate(rules):
