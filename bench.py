@@ -15,7 +15,8 @@ import time
 from pyspark.sql import functions as F
 
 from tidemark.checks import market, portfolio, views
-from tidemark.operators import backtest, metrics, recommend
+from tidemark.functions import text
+from tidemark.operators import backtest, metrics, models, recommend
 from tidemark.operators.macro import as_of_join, macro_features
 from tidemark.operators.technical import mart_technicals, technical_indicators
 from tidemark.plans import gold, marts, news, silver
@@ -70,6 +71,10 @@ def main() -> None:
         told = recommend.with_contributions(newest, list(names), list(names.values()))
         return recommend.recommendations(recommend.assess(told))
 
+    def fitted():
+        found = models.preprocess(features, portfolio.INPUTS)
+        return models.score(models.fit_ridge(found.train, found.features), found.test, found.features)
+
     queries = {
         "bars_from_trades": lambda: views.bars(spark, sf),
         "silver_stocks": lambda: silver.silver_stocks(bronze, views.sectors(spark, sf)),
@@ -85,6 +90,11 @@ def main() -> None:
         "backtest": lambda: backtest.statistics(backtest.backtest(signal)),
         "recommendations": recommended,
         "latest_ticks": lambda: portfolio.live(spark, sf),
+        "match_tickers": lambda: articles.select(
+            text.match_tickers("title", "description", F.array(*[F.lit(t) for t in text.TICKER_KEYWORDS]))
+        ),
+        "prepare_inputs": lambda: models.preprocess(features, portfolio.INPUTS).rows,
+        "ridge_fit_and_score": fitted,
     }
     wanted = sys.argv[1:]
     seconds = {}
