@@ -103,13 +103,16 @@ def match_tickers(
         for t, words in keywords.items()
     ])
 
-    def named(ticker: Column) -> Column:
+    def named(ticker: Column, row: Column) -> Column:
+        by_name = F.rlike(row["text"], own(ticker))
         if not keywords:
-            return F.rlike(text, own(ticker))
-        by_keyword = F.coalesce(F.array_contains(found, ticker), F.lit(False))
-        return F.when(ticker.isin(*keywords), by_keyword).otherwise(F.rlike(text, own(ticker)))
+            return by_name
+        by_keyword = F.coalesce(F.array_contains(row["found"], ticker), F.lit(False))
+        return F.when(ticker.isin(*keywords), by_keyword).otherwise(by_name)
 
-    hits = F.filter(query_tickers, named)
+    # an array of one struct binds its fields, so that they are computed once, not per candidate
+    row = F.array(F.struct(text.alias("text"), found.alias("found"), query_tickers.alias("asked")))
+    hits = F.transform(row, lambda r: F.filter(r["asked"], lambda t: named(t, r)))[0]
     return F.array_join(F.when(F.size(hits) > 0, hits).otherwise(query_tickers), ",")
 
 
