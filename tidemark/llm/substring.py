@@ -144,16 +144,18 @@ def removal_intervals(rows: DataFrame, window: int = WINDOW, gram: int = GRAM) -
     digest = F.struct("r1", "r2", "n")
     shared = runs.groupBy("m").agg(
         F.min("ord").alias("low"), F.max("ord").alias("high"), (F.min(digest) != F.max(digest)).alias("varied"))
-    shared = shared.filter("low < high").select("m", "varied")
+    # aggregates are stored before they are joined, so that a skewed join has two plain shuffles
+    # to split between tasks
+    shared = store(shared.filter("low < high").select("m", "varied"), "shared-minimisers")
     met = store(runs.join(shared, "m"), "shared-runs")
     key = ["m", "r1", "r2", "n"]
-    first = met.groupBy(*key).agg(F.min("ord").alias("low"))
+    first = store(met.groupBy(*key).agg(F.min("ord").alias("low")), "first-runs")
     judged = store(met.join(first, key).select("ord", "th", "start", "n", "varied", (F.col("ord") > F.col("low")).alias("later")),
                    "judged-runs")
     whole = judged.filter("later").select("ord", "th", "start", (F.col("start") + F.col("n") - 1 + window).alias("end"))
     single = store(single_windows(rows, judged.filter("varied and not later"), window), "windows")
     low = single.groupBy("h1", "h2").agg(F.min("ord").alias("low"), F.max("ord").alias("high"))
-    low = low.filter("low < high").select("h1", "h2", "low")
+    low = store(low.filter("low < high").select("h1", "h2", "low"), "first-windows")
     few = single.join(low, ["h1", "h2"]).filter("ord > low")
     few = few.select("ord", "th", F.col("pos").alias("start"), (F.col("pos") + window).alias("end"))
     return islands(whole.union(few).distinct())
