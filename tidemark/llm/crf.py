@@ -185,7 +185,9 @@ def fit(docs: DataFrame, labels: DataFrame, per_class: int = 500, lines: int = 6
     picked = [graded.filter(F.col("quality") == q).orderBy(place, "doc_id").limit(2 * per_class) for q in sums]
     ids = picked[0].union(picked[1]).select("doc_id", "quality")
     texts = docs.select("doc_id", F.col("text").cast("binary").alias("text")).filter("text is not null")
-    found = texts.join(F.broadcast(ids), "doc_id").dropDuplicates(["doc_id"])
+    # of several texts with one id the one with the least digest
+    one = F.min(F.struct(F.xxhash64("text").alias("h"), "text", "quality")).alias("x")
+    found = texts.join(F.broadcast(ids), "doc_id").groupBy("doc_id").agg(one).select("doc_id", "x.text", "x.quality")
 
     def work(batches):
         for batch in batches:
