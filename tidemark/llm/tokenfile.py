@@ -23,7 +23,7 @@ SCHEMA = "doc_id long, part int, offset long, n_tokens long, ids array<int>"
 def write_tokens(
     docs: DataFrame, path: str, tokenizer: str, end_id: int | None = None, by_word: bool = False,
     row_group_bytes: int = 32 << 20, page_rows: int = 1000, page_bytes: int = 256 << 10,
-    codec: str = "zstd",
+    codec: str = "snappy",
 ) -> None:
     """Encode ``text`` of every row and write the files in ascending doc_id order.
 

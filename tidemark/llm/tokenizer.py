@@ -3,22 +3,48 @@
 from __future__ import annotations
 
 import hashlib
+import re
 from array import array
 from pathlib import Path
+from unicodedata import is_normalized
 
-KNOWN = 500_000  # words a worker remembers; beyond that it starts anew
+KNOWN = 350_000  # words of a generation; a worker remembers two
+LONGEST = 64  # longer words are not remembered
+TAIL = b".,!?;:"
+# printable ASCII without what could start a special token or a contraction
+_PLAIN, _RUNS = re.compile(rb"[!-&(-;=-{}~]+"), re.compile(rb"[a-z]+|[0-9]|[^a-z0-9]+")
+
+
+class _Words(dict):
+    """Ids of words, found on first use. At ``KNOWN`` words it begins a new generation and keeps
+    the last one to look back at, so that frequent words are never lost."""
+
+    def __init__(self, find) -> None:
+        self.find, self.before = find, {}
+
+    def __missing__(self, word: bytes) -> bytes:
+        ids = self.before.get(word)
+        if ids is None:
+            ids = self.find(word)
+        if len(word) <= LONGEST:
+            if len(self) >= KNOWN:
+                self.before = dict(self)
+                self.clear()
+            self[word] = ids
+        return ids
 
 
 class Encoder:
     """Ids of texts, as bytes of little-endian unsigned 32-bit numbers.
 
-    ``by_word`` encodes each run without ASCII white space once and remembers its ids. That is
-    right only for a tokenizer that drops white space and never merges across it; others get the
-    whole text.
+    ``by_word`` looks up each run without ASCII white space, and in it letters and other characters
+    apart, and encodes only what is new. That is right only for a tokenizer that drops
+    white space, lower-cases, and parts letters from other characters, as word_bpe_49k does.
+    Others get the whole text.
     """
 
     def __init__(self, name: str, model: bytes, by_word: bool = False) -> None:
-        self.by_word, self.known = by_word, {}
+        self.by_word = by_word
         if name.endswith(".model"):
             import sentencepiece
 
@@ -26,28 +52,55 @@ class Encoder:
             self.library = lambda texts: pieces.encode(texts, num_threads=1)
         else:
             from tokenizers import Tokenizer
+            from tokenizers.pre_tokenizers import ByteLevel
 
             library = Tokenizer.from_str(model.decode())
             library.no_truncation()
             library.no_padding()
+            self.merges = library.model
+            self.bytes = ByteLevel(add_prefix_space=False, use_regex=False)
             self.library = lambda texts: [
                 e.ids for e in library.encode_batch_fast(texts, add_special_tokens=False)
             ]
+        self.words = _Words(self._word)
 
     def _ids(self, texts: list[str]) -> list[bytes]:
         return [array("I", ids).tobytes() for ids in self.library(texts)]
 
+    def _word(self, word: bytes) -> bytes:
+        """Ids of a new word, put together from parts that are words themselves."""
+        known = self.words
+        if word.isalpha():  # most words: letters, or letters and one mark
+            low = word.lower()
+            return self._merged(low.decode()) if low == word else known[low]
+        core, mark = word[:-1], word[-1:]
+        if core.isalpha() and mark in TAIL:
+            return known[core.lower()] + known[mark]
+        if _PLAIN.fullmatch(word):
+            runs = _RUNS.findall(word.lower())
+            return b"".join([known[r] for r in runs]) if len(runs) > 1 else self._run(word)
+        core = word.rstrip(TAIL)
+        if 0 < len(core) < len(word) and core.decode().lower().isalpha():
+            return known[core] + known[word[len(core) :]]
+        return self._run(word)
+
+    def _run(self, run: bytes) -> bytes:
+        text = run.decode()
+        low = text.lower()
+        # Latin letters in composed form: the same, and bytes beyond ASCII have names of their own
+        if low.isalpha() and max(text) < "\u0250" and is_normalized("NFC", text):
+            return self._merged("".join([p for p, _ in self.bytes.pre_tokenize_str(low)]))
+        return self._ids([text])[0]
+
+    def _merged(self, text: str) -> bytes:
+        return array("I", [t.id for t in self.merges.tokenize(text)]).tobytes()
+
     def encode(self, texts: list[bytes | None]) -> list[bytes]:
         texts = [t or b"" for t in texts]
         if not self.by_word:
             return self._ids([t.decode() for t in texts])
-        split = [t.split() for t in texts]
-        if len(self.known) > KNOWN:
-            self.known = {}
-        new = list(set().union(*split).difference(self.known))
-        self.known.update(zip(new, self._ids([w.decode() for w in new])))
-        ids = self.known.__getitem__
-        return [b"".join(map(ids, words)) for words in split]
+        ids = self.words.__getitem__
+        return [b"".join(map(ids, t.split())) for t in texts]
 
 
 def load(path: str) -> tuple[str, bytes]:
