@@ -14,7 +14,7 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import map_rows, values
+from tidemark.llm.common import map_rows, store, values
 from tidemark.llm.tokenizer import Encoder, load, pieces, version
 
 SCHEMA = "digest binary, n_tokens long, tokenizer string"
@@ -54,6 +54,13 @@ def count_tokens(
     form = normalise(F.col("text"))
     digest = F.unhex(F.sha2(form.cast("binary"), 256)).alias("digest")
 
+    rows = docs.select(
+        F.col("doc_id").cast("long").alias("doc_id"),
+        F.coalesce(F.octet_length("text"), F.lit(0)).cast("long").alias("n_bytes"),
+        digest,
+    )
+    rows = store(rows, "digests")
+
     def stored() -> DataFrame:
         found = read_cache(spark, cache).filter(F.col("tokenizer") == tag)
         return found.groupBy("digest").agg(F.max("n_tokens").alias("n_tokens"))
@@ -72,9 +79,7 @@ def count_tokens(
 
     fresh = map_rows(misses, "digest binary, n_tokens long", work).withColumn("tokenizer", F.lit(tag))
     fresh.write.mode("append").partitionBy("tokenizer").parquet(cache)
-    rows = docs.select(
-        F.col("doc_id").cast("long").alias("doc_id"),
-        F.coalesce(F.octet_length("text"), F.lit(0)).cast("long").alias("n_bytes"),
-        digest,
-    )
-    return rows.join(stored(), "digest").select("doc_id", "n_bytes", "n_tokens")
+    # both sides of the answer's join are plain stored tables, so that a digest which many
+    # documents share can be split between tasks
+    known = stored().join(rows.select("digest").distinct(), "digest", "left_semi")
+    return rows.join(store(known, "known-counts"), "digest").select("doc_id", "n_bytes", "n_tokens")
