@@ -21,6 +21,7 @@ from tidemark.operators.macro import as_of_join, macro_features
 from tidemark.operators.technical import mart_technicals, technical_indicators
 from tidemark.plans import gold, marts, news, silver
 from tidemark.session import build_session
+from tidemark.sources.reference_data import NEWS_GROUPS
 
 RUNS = int(os.environ.get("BENCH_RUNS", "3"))
 
@@ -91,7 +92,7 @@ def main() -> None:
         "recommendations": recommended,
         "latest_ticks": lambda: portfolio.live(spark, sf),
         "match_tickers": lambda: articles.select(
-            text.match_tickers("title", "description", F.array(*[F.lit(t) for t in text.TICKER_KEYWORDS]))
+            text.match_tickers("title", "description", F.array(*[F.lit(t) for t in NEWS_GROUPS[0][1]]))
         ),
         "prepare_inputs": lambda: models.preprocess(features, portfolio.INPUTS).rows,
         "ridge_fit_and_score": fitted,
