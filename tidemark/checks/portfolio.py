@@ -244,8 +244,8 @@ def ridge(spark, sf):
 
 @register("m6_random_forest")
 def forest(spark, sf):
-    rows, layout = features(spark, sf)
-    found = models.preprocess(rows, INPUTS, layout=layout)
+    rows, layout = gold_table(spark, sf)
+    found = models.preprocess(rows, layout=layout)
     model = models.fit_forest(freeze(found.train), found.features)
     return models.score(model, found.test, found.features).select("symbol", "date", "predicted_return")
 
@@ -256,8 +256,8 @@ VARIANTS = ({}, {"depth": 6})
 
 @register("m7_m8_boosted_ensemble")
 def boosted(spark, sf):
-    rows, layout = features(spark, sf)
-    found = models.preprocess(rows, INPUTS, layout=layout)
+    rows, layout = gold_table(spark, sf)
+    found = models.preprocess(rows, layout=layout)
     train = freeze(found.train)
     cut = chronology(train, lambda n: [int(n * 0.85)]).cuts[0]
     flagged = freeze(train.withColumn("late", ~cut.before()))
@@ -269,8 +269,8 @@ def boosted(spark, sf):
 
 @register("m4_search")
 def searched(spark, sf):
-    rows, layout = features(spark, sf)
-    found = models.preprocess(rows, INPUTS, layout=layout)
+    rows, layout = gold_table(spark, sf)
+    found = models.preprocess(rows, layout=layout)
     _, trials = models.search(
         freeze(found.train), found.features, models.fit_ridge, models.RIDGE_RANGES
     )
