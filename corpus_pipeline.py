@@ -9,10 +9,11 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from tidemark.llm import crf, decontaminate, minhash, mixing, tokenfile
+from tidemark.llm import crf, decontaminate, mixing, simhash, tokenfile
 from tidemark.llm.common import shared_path
 from tidemark.llm.queries import END_ID, TOKENIZER, table
 
+SHINGLE, BITS = 3, 3  # words of a shingle, most bits in which linked fingerprints differ
 COLUMNS = ("doc_id", "text", "lang", "source", "n_chars")
 
 
@@ -24,8 +25,8 @@ def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group at 5-word-shingle similarity 0.8 or more: that of the smallest doc_id."""
-    return minhash.keep_one(docs.select(*COLUMNS))
+    """One document of each group of fingerprints that link: that of the smallest doc_id."""
+    return simhash.keep_one(docs.select(*COLUMNS), bits=BITS, size=SHINGLE)
 
 
 def leaks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -55,7 +56,7 @@ STAGES = [
     ("token files", tokens),
 ]
 
-# A trained line model, similarity links and a tokenizer decide here, which SQL cannot express.
+# A trained line model, SimHash links and a tokenizer decide here, which SQL cannot express.
 ORACLE_SQL = None
 
 
