@@ -52,7 +52,9 @@ def items(spark):
 
 def clashing(docs):
     """Further columns named as the operators name their own."""
-    for name in ("ord", "th", "fp", "w", "p", "rank", "start", "end", "size", "target", "m", "k", "part", "score", "spans_"):
+    names = ("ord", "th", "fp", "w", "p", "rank", "start", "end", "size", "target", "m", "n", "k", "part", "score", "spans_",
+             "_h", "_o", "_th", "_n", "_m", "_hits", "_text", "_c", "o", "h", "row", "first", "root")
+    for name in names:
         docs = docs.withColumn(name, F.lit("x"))
     return docs
 
@@ -85,6 +87,25 @@ def test_a_row_for_each_row(spark, odd, labels, items, tmp_path):
         assert Counter(r.doc_id for r in out.select("doc_id").collect()) == ids, name
 
 
+def test_rows_come_back_as_they_were(spark, odd, items):
+    """Operators that return the caller's rows change none of its columns, whatever their names."""
+    docs = clashing(odd)
+    start = {tuple(r) for r in docs.collect()}
+    for out in (simhash.keep_one(docs), mixing.mixed(docs), decontaminate.scan(docs, items).select(*docs.columns)):
+        assert out.columns == docs.columns and {tuple(r) for r in out.collect()} <= start
+    assert decontaminate.scan(docs, items, item_bytes=20).select(*docs.columns).count() == docs.count()
+
+
+def test_equal_rows_are_dealt_together(spark, monkeypatch):
+    """A row that is there often is copied as often as its equals are taken, in portions."""
+    monkeypatch.setattr(mixing, "PORTION", 7)
+    rows = frame(spark, [(5, "five words are in here", "en", "a")] * 60 + [(i, "two words", "en", "b") for i in range(40)])
+    taken = Counter({r.doc_id: 0 for r in rows.collect()})
+    for r in mixing.mix(rows).collect():
+        taken[r.doc_id] += r.n_copies
+    assert Counter(r.doc_id for r in mixing.mixed(rows).collect()) == +taken and taken[5] > 14
+
+
 def test_empty_tables(spark, nothing, labels, items, tmp_path):
     for name, out in every_operator(spark, nothing, labels.limit(0), items.limit(0), tmp_path).items():
         assert out.count() == 0, name
@@ -245,6 +266,28 @@ def test_without_labels_the_default_decides(spark, nothing, labels):
     assert field.content_share(b"### $$$ &&& %%%\n<<>> || ##") == 0
 
 
+def test_labels_of_other_documents_teach_nothing_and_hide_nothing(spark):
+    """However many labelled ids are missing or without words, those that are there teach."""
+    good = "The first line is a plain sentence.\nAnother sentence follows here, as it should."
+    rows = [(i, good if i % 2 else "### $$$ |||\n*** && <<>>") for i in range(40)] + [(i, " \n") for i in range(40, 60)]
+    labels = [(i, i % 2, 0) for i in range(5000)]
+    labels = spark.createDataFrame(labels, "doc_id long, quality int, toxic int")
+    field = crf.fit(frame(spark, rows), labels, per_class=10)
+    assert not np.array_equal(field.weights, crf.default_field().weights)
+    assert field.content_share(good.encode()) == 1 and field.content_share(b"### $$$ |||\n*** && <<>>") == 0
+
+
+def test_lines_are_not_taken_from_the_top():
+    """Runs of a long text start where a digest of it says, so its end teaches as well."""
+    starts = set()
+    for k in range(200):
+        text = "\n".join(f"{k} " + "word " * (i + 1) for i in range(30)).encode()
+        run, whole = crf.line_run(text, 4), crf.line_features(text)[0]
+        starts |= {i for i in range(27) if np.array_equal(run, whole[i : i + 4])}
+    assert {0, 26} <= starts and len(starts) > 20
+    assert len(crf.line_run(b"one\ntwo", 4)) == 2 and len(crf.line_run(b"", 4)) == 0
+
+
 # mixing
 
 

@@ -9,13 +9,14 @@ from __future__ import annotations
 
 import math
 import re
+import zlib
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import map_rows, values
+from tidemark.llm.common import WORD, map_rows, store, values
 
 SYMBOLS = b"#*$%&|<>"
 SPACE = b" \t\n\x0b\x0c\r"
@@ -167,31 +168,38 @@ def train(sequences: list[np.ndarray], labels: list[np.ndarray], rounds: int = 1
     return LineField(theta[:width], theta[width:].reshape(2, 2))
 
 
+def line_run(text: bytes, lines: int) -> np.ndarray:
+    """Features of at most ``lines`` consecutive lines, the first of them chosen by a digest."""
+    rows = line_features(text)[0]
+    at = zlib.crc32(text) % max(1, len(rows) - lines + 1)
+    return rows[at : at + lines]
+
+
 def fit(docs: DataFrame, labels: DataFrame, per_class: int = 500, lines: int = 64) -> LineField:
     """Train on at most ``per_class`` documents of each quality, at most ``lines`` lines of each.
 
     Weak labels: the lines of a document of quality 1 count as content, of quality 0 as
-    boilerplate. Documents are taken by the order of a digest of their text, so reruns agree. A
-    document with both labels teaches neither. Without documents of both qualities the field of
-    ``default_field`` is returned.
+    boilerplate. Labelled documents that have a text are taken by the order of a digest of their
+    id, and of a long one a run of lines from a place that a digest of its text chooses, so reruns
+    agree. A document with both labels teaches neither. Unless there are documents with words of
+    both qualities, the field of ``default_field`` is returned.
     """
     graded = labels.filter("doc_id is not null and quality in (0, 1)").groupBy("doc_id")
     graded = graded.agg(F.min("quality").alias("low"), F.max("quality").alias("quality")).filter("low = quality")
-    sums = {r[0]: r[1] for r in graded.groupBy("quality").count().collect()}
-    if len(sums) < 2:
-        return default_field()
-    # by id first, as ids are narrow; twice as many as wanted, since some have no text
+    worded = docs.filter(F.regexp_like("text", F.lit(WORD)))
+    texts = worded.select("doc_id", F.col("text").cast("binary").alias("text"))
+    # by id first, as ids are narrow, and only ids of texts with a word
+    graded = graded.join(worded.select("doc_id").distinct(), "doc_id", "left_semi").select("doc_id", "quality")
     place = F.xxhash64(F.col("doc_id").cast("long"))
-    picked = [graded.filter(F.col("quality") == q).orderBy(place, "doc_id").limit(2 * per_class) for q in sums]
-    ids = picked[0].union(picked[1]).select("doc_id", "quality")
-    texts = docs.select("doc_id", F.col("text").cast("binary").alias("text")).filter("text is not null")
+    picked = [graded.filter(F.col("quality") == q).orderBy(place, "doc_id").limit(per_class) for q in (0, 1)]
+    ids = store(picked[0].union(picked[1]), "picked")
     # of several texts with one id the one with the least digest
     one = F.min(F.struct(F.xxhash64("text").alias("h"), "text", "quality")).alias("x")
     found = texts.join(F.broadcast(ids), "doc_id").groupBy("doc_id").agg(one).select("doc_id", "x.text", "x.quality")
 
     def work(batches):
         for batch in batches:
-            rows = [line_features(t)[0][:lines] for t in values(batch.column("text"))]
+            rows = [line_run(t, lines) for t in values(batch.column("text"))]
             yield pa.RecordBatch.from_arrays(
                 [batch.column("doc_id"), batch.column("quality"), pa.array([r.ravel().tolist() for r in rows])],
                 ["doc_id", "quality", "x"],

@@ -102,29 +102,32 @@ def scan(docs: DataFrame, benchmark: DataFrame, size: int = 13, item_bytes: int
     total = items.agg(F.sum(F.octet_length("text") + 16)).first()[0] or 0
     parts = max(1, math.ceil(total / item_bytes))
     share = items.withColumn("_p", F.pmod(F.xxhash64("item_id", "text"), F.lit(parts)))
+    runs = "_hits"
+    while runs in {n.lower() for n in names}:
+        runs += "_"
     state = docs
     for part in range(parts):
         rows = [tuple(r) for r in share.filter(F.col("_p") == part).select("item_id", "text").collect()]
         held = docs.sparkSession.sparkContext.broadcast([(i, bytes(t)) for i, t in rows])
         later = part > 0
         schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema) + ", " + added
-        schema += ", _hits array<int>"
-        state = map_rows(state, schema, _scanner(held, size, names, later))
+        schema += f", {runs} array<int>"
+        state = map_rows(state, schema, _scanner(held, size, names, runs, later))
         if parts > 1:
             state = store(state, "leaks")
     rate = F.col("n_hit") * RATE
-    return state.drop("_hits").withColumn(
+    return state.drop(runs).withColumn(
         "contaminated", (F.col("n_hit") > 0) & (rate >= F.col("n_words"))
     )
 
 
-def _scanner(held, size: int, names: list[str], later: bool):
+def _scanner(held, size: int, names: list[str], kept_runs: str, later: bool):
     def work(batches):
         leaks = None
         for batch in batches:
             leaks = leaks or Leaks(held.value, size)
             texts = values(batch.column(names.index("text")).cast(pa.binary()))
-            before = values(batch.column("_hits")) if later else [()] * len(texts)
+            before = values(batch.column(kept_runs)) if later else [()] * len(texts)
             listed = values(batch.column("items")) if later else [()] * len(texts)
             cols: list[list] = [[], [], [], [], []]
             for text, old, ids in zip(texts, before, listed):
@@ -146,7 +149,7 @@ def _scanner(held, size: int, names: list[str], later: bool):
             kept = [batch.column(i) for i in range(len(names))]
             yield pa.RecordBatch.from_arrays(
                 [*kept, *(pa.array(c, k) for c, k in zip(cols, kinds))],
-                [*names, "n_words", "n_hit", "items", "spans", "_hits"],
+                [*names, "n_words", "n_hit", "items", "spans", kept_runs],
             )
 
     return work

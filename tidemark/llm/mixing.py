@@ -23,6 +23,7 @@ from tidemark.scale import broadcast_if_small, global_position, running_total
 
 WEIGHTS = (5, 2, 1)
 CLASSES = 64
+PORTION = 1024  # copies of one row made at a time
 
 
 def word_count(text: str = "text") -> Column:
@@ -134,13 +135,20 @@ def mix(
 
 
 def mixed(docs: DataFrame, **options) -> DataFrame:
-    """The mix itself: the rows of ``docs``, each as often as it is taken, all columns as they came."""
-    names = docs.columns
-    every = F.xxhash64(*[F.col(f"`{n}`") for n in names])
-    taken = mix(docs, **options).groupBy("th").agg(F.sum("n_copies").alias("_n"), F.count("*").alias("_m"))
-    rows = docs.withColumn("_th", every).join(taken.withColumnRenamed("th", "_th"), "_th").filter("_n > 0")
-    # identical rows share what was taken of them: _n copies dealt over _m rows
-    nth = F.row_number().over(Window.partitionBy("_th").orderBy(F.lit(1)))
-    share = F.floor(F.col("_n") / F.col("_m")) + (nth <= F.col("_n") % F.col("_m")).cast("long")
-    repeated = rows.withColumn("_n", share).filter("_n > 0").withColumn("_n", F.explode(F.expr("sequence(1, _n)")))
-    return repeated.select(*[F.col(f"`{n}`") for n in names])
+    """The mix itself: the rows of ``docs``, each as often as it is taken, all columns as they came.
+
+    Identical rows are folded into one before they are copied, and many copies of one row are
+    made in portions, so that no task holds or makes all of them.
+    """
+    names = [F.col(f"`{n}`") for n in docs.columns]
+    taken = mix(docs, **options).groupBy("th").agg(F.sum("n_copies").alias("n"), F.count("*").alias("m"))
+    taken = store(taken.filter("n > 0"), "taken")
+    rows = docs.select(F.xxhash64(*names).alias("th"), F.struct(*names).alias("row"))
+    once = rows.join(taken.filter("m = 1").select("th", "n"), "th")
+    equal = taken.filter("m > 1")
+    folded = rows.join(broadcast_if_small(equal.select("th")), "th", "left_semi")
+    folded = store(folded.groupBy("th").agg(F.first("row").alias("row")), "folded")
+    at = F.explode(F.sequence(F.lit(0), F.col("n") - 1, F.lit(PORTION)))
+    portions = equal.select("th", "n", at.alias("at")).select("th", F.least(F.col("n") - F.col("at"), F.lit(PORTION)).alias("n"))
+    out = once.select("row", "n").union(folded.join(portions, "th").select("row", "n"))
+    return out.select("row", F.explode(F.sequence(F.lit(1), F.col("n")))).select("row.*")

@@ -174,10 +174,11 @@ def keep_one(docs: DataFrame, bits: int = 3, size: int = 3) -> DataFrame:
     names = docs.columns
     if len(set(n.lower() for n in names)) < len(names):
         raise ValueError("column names must differ")
-    row = docs.withColumn("_h", F.xxhash64(*[F.col(f"`{n}`") for n in names])).withColumn("_o", order_key())
-    marked = fingerprints(row, "doc_id", "_o", "_h", size=size)
+    whole = [F.col(f"`{n}`") for n in names]
+    place = (order_key().alias("o"), F.xxhash64(*whole).alias("h"))
+    marked = fingerprints(docs.select("doc_id", "text", *place), "doc_id", "o", "h", size=size)
     marked = with_components(store(marked, "fingerprints"), bits)
-    kept = marked.groupBy("root").agg(F.min(F.struct("_o", "_h")).alias("first"))
-    kept = kept.select("first._o", "first._h").distinct()
-    return row.join(kept, ["_o", "_h"]).dropDuplicates(["_o", "_h"]).select(*[F.col(f"`{n}`") for n in names])
-
+    kept = marked.groupBy("root").agg(F.min(F.struct("o", "h")).alias("first"))
+    kept = kept.select("first.o", "first.h").distinct()
+    rows = docs.select(*place, F.struct(*whole).alias("row"))
+    return rows.join(kept, ["o", "h"]).dropDuplicates(["o", "h"]).select("row.*")
