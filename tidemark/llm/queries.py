@@ -7,9 +7,11 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.llm import (
-    crf, decontaminate, langid, linededup, mixing, simhash, substring, tokencount, tokenfile, urlfilter,
+    crf, decontaminate, divergence, langid, linededup, mixing, sanitise, simhash, substring, tokencount, tokenfile,
+    urlfilter, vectorcodes,
 )
-from tidemark.llm.common import shared_path
+from tidemark.llm.common import shared_path, store
+from tidemark.scale import broadcast_if_small
 
 TOKENIZER = "word_bpe_49k.json"  # drops white space and never merges across it
 END_ID = 2
@@ -80,10 +82,31 @@ def op10_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.withColumn("over_limit", F.col("n_tokens") > 2048)
 
 
+def op11_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    kept = vectorcodes.usable(table(spark, sf_dir, "embeddings"))
+    books = vectorcodes.fit(kept)
+    coded = store(vectorcodes.encode(kept, books), "codes")
+    totals = broadcast_if_small(store(vectorcodes.label_totals(coded), "label-totals"))
+    rows = coded.join(totals, coded["label"].eqNullSafe(totals["label"]))
+    code, digest = F.lower(F.hex("code")).alias("code"), F.lit(books.digest()).alias("codebooks_sha256")
+    return rows.select("vec_id", code, "error", "label_error", digest)
+
+
+def op12_private(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = sanitise.find(table(spark, sf_dir, "documents"))
+    counts = [sanitise.count_of(F.col("spans"), k).alias(f"n_{sanitise.KINDS[k]}") for k in range(sanitise.TERM)]
+    base = sanitise.listed(F.filter("spans", lambda s: s["kind"] < sanitise.TERM))
+    return found.select("doc_id", *counts, F.sha2(base, 256).alias("base_sha256"), sanitise.listed(F.col("spans")).alias("spans"))
+
+
+def op13_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return divergence.audit(table(spark, sf_dir, "documents"))
+
+
 QUERIES = {
     f.__name__: f
     for f in (op1_langid, op2_simhash, op3_quality, op4_mixing, op5_substring, op6_lines, op7_urls, op8_tokens,
-              op9_leaks, op10_counts)
+              op9_leaks, op10_counts, op11_codes, op12_private, op13_divergence)
 }
 
 _UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
@@ -218,8 +241,152 @@ SELECT doc_id, len(w)::BIGINT AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(
 FROM docs LEFT JOIN hit_words USING (r) LEFT JOIN found USING (r)
 """
 
+
+
+def _codes_sql(rounds: int = 6) -> str:
+    """Plain distances of all parts to all entries; a recursive query written out, as each step groups."""
+    steps = """
+WITH kept AS MATERIALIZED (
+  SELECT row_number() OVER (ORDER BY vec_id NULLS LAST, embedding) AS r, vec_id, label,
+    list_transform(embedding, lambda x: floor(4096 * x::DOUBLE)::HUGEINT) AS v
+  FROM embeddings WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+), parts AS MATERIALIZED (
+  SELECT r, p, v[p * m + 1:p * m + m] AS x, m FROM kept, range(8) t(p), (SELECT max(len(v)) // 8 AS m FROM kept)
+), book0 AS MATERIALIZED (SELECT p, r - 1 AS e, x FROM parts WHERE r <= 16)"""
+    for k in range(rounds + 1):
+        steps += f""", near{k} AS MATERIALIZED (
+  SELECT r, p, min(d) AS d, arg_min(e, (d, e)) AS e FROM (
+    SELECT r, parts.p, e, list_sum(list_transform(range(1, m + 1), lambda i: (parts.x[i] - b.x[i]) * (parts.x[i] - b.x[i]))) AS d
+    FROM parts JOIN book{k} b USING (p)) GROUP BY r, p
+)"""
+        if k < rounds:
+            steps += f""", sums{k} AS (
+  SELECT p, e, i, sum(y) AS s, count(*) AS n
+  FROM (SELECT p, e, unnest(x) AS y, unnest(range(len(x))) AS i FROM parts JOIN near{k} USING (r, p)) GROUP BY ALL
+), book{k + 1} AS MATERIALIZED (
+  SELECT b.p, b.e, coalesce(t.x, b.x) AS x FROM book{k} b LEFT JOIN (
+    SELECT p, e, list(s // n - CASE WHEN s % n < 0 THEN 1 ELSE 0 END ORDER BY i) AS x FROM sums{k} GROUP BY p, e) t USING (p, e)
+)"""
+    return steps + f""", coded AS (
+  SELECT vec_id, label, string_agg(printf('%02x', e), '' ORDER BY p) AS code, sum(d)::BIGINT AS error
+  FROM kept JOIN near{rounds} USING (r) GROUP BY r, vec_id, label
+), digest AS (
+  SELECT sha256(string_agg(list_aggregate(x, 'string_agg', ','), ',' ORDER BY p, e)) AS codebooks_sha256 FROM book{rounds}
+)
+SELECT vec_id, code, error, (sum(error) OVER (PARTITION BY label))::BIGINT AS label_error, codebooks_sha256 FROM coded, digest
+"""
+
+
+CODES_SQL = _codes_sql()
+
+_EMAIL = r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+"
+_LETTERS = r"[^\x00-\x40\x5B-\x60\x7B-\x7F]+"
+_PATTERNS = {
+    "email": (_EMAIL, f"translate(m, '{_UPPER}', '{_LOWER}')"),
+    "ip": (
+        r"[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)",
+        "CASE WHEN len(list_filter(string_split(m, '.'), lambda x: length(ltrim(x, '0')) > 3"
+        " OR (length(ltrim(x, '0')) = 3 AND ltrim(x, '0') > '255'))) = 0 THEN m END",
+    ),
+    "card": (
+        r"[0-9]([\x20-]?[0-9])+",
+        "CASE WHEN length(d) BETWEEN 12 AND 19 AND list_sum(list_transform(range(length(d)), lambda j:"
+        " CASE WHEN j % 2 = 0 THEN d[length(d) - j]::INT ELSE 2 * d[length(d) - j]::INT // 10 + 2 * d[length(d) - j]::INT % 10 END)) % 10 = 0 THEN d END",
+    ),
+    "phone": (r"\+[0-9][\x20().0-9-]+[0-9]", "CASE WHEN length(d) BETWEEN 9 AND 15 THEN '+' || d END"),
+}
+
+
+def _words_sql(text: str) -> str:
+    return f"regexp_extract_all(translate(regexp_replace({text}, '{_EMAIL}', ' ', 'g'), '{_UPPER}', '{_LOWER}'), '{_LETTERS}')"
+
+
+def _placed_sql(name: str, rows: str, pattern: str) -> str:
+    """Matches with their offsets and the text before and after each."""
+    return f"""{name}_cut AS (
+  SELECT *, regexp_extract_all(t, '{pattern}') AS ms, string_split_regex(t, '{pattern}') AS gs FROM {rows}
+), {name}_each AS (
+  SELECT r, base, unnest(ms) AS m, unnest(range(len(ms))) AS i, unnest(gs[1:len(ms)]) AS g, unnest(gs[2:]) AS after FROM {name}_cut
+), {name}_at AS (
+  SELECT *, base + (sum(length(g) + length(m)) OVER (PARTITION BY r, base ORDER BY i))::BIGINT - length(m) AS start FROM {name}_each
+)"""
+
+
+def _private_sql() -> str:
+    kinds = ", ".join(_placed_sql(k, "docs", p) for k, (p, _) in _PATTERNS.items())
+    rows = " UNION ALL ".join(
+        f"SELECT r, {n} AS kind, start, start + length(m) AS stop, {value} AS value, g, after"
+        f" FROM (SELECT *, regexp_replace(m, '[^0-9]', '', 'g') AS d FROM {k}_at)"
+        for n, (k, (_, value)) in enumerate(_PATTERNS.items())
+    )
+    return f"""
+WITH docs AS MATERIALIZED (
+  SELECT row_number() OVER () AS r, doc_id, coalesce(text, '') AS t, 0 AS base FROM documents
+), {kinds}, base AS MATERIALIZED (
+  SELECT * FROM ({rows}) WHERE value IS NOT NULL
+), beside AS (
+  SELECT DISTINCT r, kind, value, unnest(list_concat({_words_sql("g")}[-8:], {_words_sql("after")}[:8])) AS term FROM base
+), near AS (
+  SELECT term, max(n) AS near FROM (
+    SELECT kind, value, term, count(*) AS n FROM beside JOIN docs USING (r) GROUP BY ALL HAVING count(DISTINCT t) >= 3) GROUP BY term
+), held AS (
+  SELECT term, count(*) AS n FROM (SELECT DISTINCT r, unnest({_words_sql("t")}) AS term FROM docs) SEMI JOIN near USING (term) GROUP BY term
+), terms AS (
+  SELECT term, CASE WHEN 2 * near >= n THEN 4 ELSE 5 END AS kind FROM near JOIN held USING (term) WHERE 4 * near >= n
+), outside AS (
+  SELECT r, t, start + length(m) AS base FROM (
+    SELECT r, after AS t, m, start FROM email_at UNION ALL SELECT r, string_split_regex(t, '{_EMAIL}')[1], '', 0 FROM docs)
+), {_placed_sql("word", "outside", _LETTERS)}, spans AS (
+  SELECT r, kind, start, stop FROM base UNION ALL
+  SELECT r, kind, start, start + length(m) FROM word_at JOIN terms ON term = translate(m, '{_UPPER}', '{_LOWER}')
+), listed AS (
+  SELECT r, kind, start, ['email', 'ip', 'card', 'phone', 'term', 'general'][kind + 1] || ':' || start || ':' || stop AS s FROM spans
+)
+SELECT any_value(doc_id) AS doc_id, {", ".join(f"count(*) FILTER (WHERE kind = {n}) AS n_{k}" for n, k in enumerate(_PATTERNS))},
+  sha256(coalesce(string_agg(s, ',' ORDER BY start, kind) FILTER (WHERE kind < 4), '')) AS base_sha256,
+  coalesce(string_agg(s, ',' ORDER BY start, kind), '') AS spans
+FROM docs LEFT JOIN listed USING (r) GROUP BY r
+"""
+
+
+PRIVATE_SQL = _private_sql()
+
+DIVERGENCE_SQL = f"""
+WITH docs AS (
+  SELECT row_number() OVER () AS r, coalesce(lang, '') AS lang, coalesce(source, '') AS source,
+    regexp_extract_all(translate(coalesce(text, ''), '{_UPPER}', '{_LOWER}'), '{_LETTERS}') AS w FROM documents
+), words AS MATERIALIZED (
+  SELECT r, lang, source, unnest(w) AS term FROM docs
+), kept AS MATERIALIZED (
+  SELECT lang, term, count(*) AS total FROM words GROUP BY ALL HAVING count(DISTINCT r) >= 3
+), langs AS (
+  SELECT lang, count(*) AS v, sum(total) AS n FROM kept GROUP BY lang
+), groups AS (
+  SELECT DISTINCT lang, source FROM docs
+), held AS (
+  SELECT lang, source, term, count(*) AS c FROM words SEMI JOIN kept USING (lang, term) GROUP BY ALL
+), sizes AS (
+  SELECT lang, source, sum(c) AS n FROM held GROUP BY ALL
+), shares AS MATERIALIZED (
+  SELECT lang, source, term, coalesce(c, 0) AS c,
+    (1 + (1000000000::HUGEINT * (coalesce(c, 0) + 1)) // (coalesce(sizes.n, 0) + v))::BIGINT AS p,
+    (1 + (1000000000::HUGEINT * (total + 1)) // (langs.n + v))::BIGINT AS q
+  FROM groups JOIN kept USING (lang) JOIN langs USING (lang) LEFT JOIN sizes USING (lang, source) LEFT JOIN held USING (lang, source, term)
+), pairs AS (
+  SELECT a.lang, a.source, b.source AS item, sum((a.p - b.p) * (a.p - b.p) // b.p) AS value
+  FROM shares a JOIN shares b USING (lang, term) WHERE a.source <> b.source GROUP BY ALL
+), found AS (
+  SELECT a.lang, a.source, 'pair' AS part, b.source AS item, coalesce(value, 0)::BIGINT AS value
+  FROM groups a JOIN groups b ON a.lang = b.lang AND a.source <> b.source
+  LEFT JOIN pairs ON pairs.lang = a.lang AND pairs.source = a.source AND pairs.item = b.source
+  UNION ALL SELECT lang, source, 'term', term, (p - q) * (p - q) // q FROM shares WHERE c > 0 AND p > q
+)
+SELECT *, (row_number() OVER (PARTITION BY lang, source, part ORDER BY value DESC, item))::INTEGER AS rank
+FROM found QUALIFY part = 'pair' OR rank <= 200
+"""
+
 # A trained model (1, 3), bit operations over all pairs (2) or a tokenizer (8, 10) decide the others.
 SQL = {
     "op4_mixing": MIX_SQL, "op5_substring": SUBSTRING_SQL, "op6_lines": LINES_SQL, "op7_urls": URLS_SQL,
-    "op9_leaks": LEAKS_SQL,
+    "op9_leaks": LEAKS_SQL, "op11_codes": CODES_SQL, "op12_private": PRIVATE_SQL, "op13_divergence": DIVERGENCE_SQL,
 }
