@@ -47,6 +47,13 @@ def map_rows(
     return df.mapInArrow(work, schema)
 
 
+def slices(batches: Iterator[pa.RecordBatch], rows: int = 1000) -> Iterator[pa.RecordBatch]:
+    """The batches in runs of few rows, so that Python holds copies of few texts at a time."""
+    for batch in batches:
+        for at in range(0, batch.num_rows, rows):
+            yield batch.slice(at, rows)
+
+
 def values(column: pa.Array) -> list:
     return column.to_pylist()
 

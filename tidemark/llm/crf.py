@@ -16,7 +16,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import WORD, map_rows, store, values
+from tidemark.llm.common import WORD, map_rows, slices, store, values
 
 SYMBOLS = b"#*$%&|<>"
 SPACE = b" \t\n\x0b\x0c\r"
@@ -237,7 +237,7 @@ def judge(docs: DataFrame, field: LineField, share: float = 0.5, min_words: int
     held = docs.sparkSession.sparkContext.broadcast(field)
 
     def work(batches):
-        for batch in batches:
+        for batch in slices(batches):
             cols: list[list] = [[] for _ in added]
             for text in values(batch.column(names.index("text")).cast(pa.binary())):
                 counts = text_counts(text)

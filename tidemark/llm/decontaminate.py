@@ -14,7 +14,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import map_rows, store, values
+from tidemark.llm.common import map_rows, slices, store, values
 
 ITEM_BYTES = 8 << 20  # benchmark text behind one automaton; a larger benchmark takes several scans
 RATE = 20  # contaminated: one word in so many is hit
@@ -124,7 +124,7 @@ def scan(docs: DataFrame, benchmark: DataFrame, size: int = 13, item_bytes: int
 def _scanner(held, size: int, names: list[str], kept_runs: str, later: bool):
     def work(batches):
         leaks = None
-        for batch in batches:
+        for batch in slices(batches):
             leaks = leaks or Leaks(held.value, size)
             texts = values(batch.column(names.index("text")).cast(pa.binary()))
             before = values(batch.column(kept_runs)) if later else [()] * len(texts)

@@ -16,7 +16,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import components, map_rows, order_key, plain, store, values
+from tidemark.llm.common import components, map_rows, order_key, plain, slices, store, values
 
 CROWD = 4096  # files with more fingerprints are filed once more, by the bits outside their key
 SUB_BLOCKS = 8
@@ -52,7 +52,7 @@ def fingerprints(docs: DataFrame, *carry: str, size: int = 3) -> DataFrame:
     schema = docs.select(*carry, F.lit(0).cast("long").alias("fp")).schema
 
     def work(batches):
-        for batch in batches:
+        for batch in slices(batches):
             found = pa.array([fingerprint(t, size) for t in values(batch.column("_text"))], pa.int64())
             kept = [batch.column(i) for i in range(batch.num_columns - 1)]
             yield pa.RecordBatch.from_arrays([*kept, found], [*batch.schema.names[:-1], "fp"])

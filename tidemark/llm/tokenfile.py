@@ -14,7 +14,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import keyed, map_rows, values
+from tidemark.llm.common import keyed, map_rows, slices, values
 from tidemark.llm.tokenizer import Encoder, load, pieces
 
 SCHEMA = "doc_id long, part int, offset long, n_tokens long, ids array<int>"
@@ -38,7 +38,7 @@ def write_tokens(
 
     def work(batches):
         encoder, offset = Encoder(*held.value, by_word=by_word), 0
-        for batch in batches:
+        for batch in slices(batches):
             texts = values(batch.column("text"))
             for cut in pieces(texts):
                 ids = [x + last for x in encoder.encode(texts[cut])]
@@ -86,9 +86,9 @@ def digests(tokens: DataFrame) -> DataFrame:
     """doc_id, start, n_tokens and the crc32 of the ids as little-endian unsigned 32-bit numbers."""
 
     def work(batches):
-        for batch in batches:
+        for batch in slices(batches):
             lists = batch.column("ids")
-            ids = lists.values.to_numpy().astype("<u4")
+            ids = lists.values.to_numpy().view("<u4")
             cuts = lists.offsets.to_numpy()
             crc = [zlib.crc32(ids[a:b].tobytes()) for a, b in zip(cuts[:-1], cuts[1:])]
             yield pa.RecordBatch.from_arrays(
