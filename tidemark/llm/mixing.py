@@ -144,7 +144,7 @@ def mixed(docs: DataFrame, **options) -> DataFrame:
     taken = mix(docs, **options).groupBy("th").agg(F.sum("n_copies").alias("n"), F.count("*").alias("m"))
     taken = store(taken.filter("n > 0"), "taken")
     rows = docs.select(F.xxhash64(*names).alias("th"), F.struct(*names).alias("row"))
-    once = rows.join(taken.filter("m = 1").select("th", "n"), "th")
+    once = rows.join(broadcast_if_small(taken.filter("m = 1").select("th", "n")), "th")
     equal = taken.filter("m > 1")
     folded = rows.join(broadcast_if_small(equal.select("th")), "th", "left_semi")
     folded = store(folded.groupBy("th").agg(F.first("row").alias("row")), "folded")
