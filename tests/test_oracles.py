@@ -1,17 +1,19 @@
 """Every registered query against its SQL on the smallest tables."""
 
-import math
-
 import pytest
+from pyspark.sql import functions as F
 
 import __spark_entry__ as entry
-from tidemark.checks import portfolio, registry
+from tidemark.checks import learning, registry
 from tidemark.checks.compare import compare
+from tidemark.operators import backtest, metrics, models
+from tidemark.operators.split import chronology
+from tidemark.plans import training
+from tidemark.scale import freeze
 
 QUERIES, SQL = registry.queries(), registry.oracle_sql()
-# fitted trees and seeded searches have no SQL; tests below state what must hold for them
-UNCHECKED = {"m4_search", "m6_random_forest", "m7_m8_boosted_ensemble", "c13_model_backtest",
-             "c14_model_recommendations"}
+# fitted trees have no SQL; test_trees.py compares them with plain trees, tests below their use
+UNCHECKED = {"m6_random_forest", "m7_m8_boosted_ensemble", "m13_fitted_board", "c13_model_backtest"}
 
 
 @pytest.mark.parametrize("name", [n for n in QUERIES if n not in UNCHECKED])
@@ -24,36 +26,60 @@ def test_every_other_query_has_sql():
     assert set(SQL) == set(QUERIES) - UNCHECKED
 
 
-def test_search_prefers_the_best_trial(spark, sf):
-    rows = QUERIES["m4_search"](spark, sf).collect()
-    assert [r.trial for r in rows] == list(range(30)) and len({r.alpha for r in rows}) == 30
-    assert all(1e-3 <= r.alpha <= 100 for r in rows)
+@pytest.fixture(scope="module")
+def gold(spark, sf):
+    return learning.gold_table(spark, sf)
+
+
+@pytest.fixture(scope="module")
+def prepared(gold):
+    return models.preprocess(gold[0], layout=gold[1])
+
+
+def values(df, column="predicted_return"):
+    return {(r.symbol, r.date): r[column] for r in df.collect()}
 
 
-def test_tree_predictions_stay_inside_the_targets(spark, sf):
-    """A forest's prediction is a mean of targets it was fitted on."""
-    rows = QUERIES["m6_random_forest"](spark, sf).collect()
-    targets, _ = portfolio.features(spark, sf)
-    low, high = targets.selectExpr("min(target_5d_return)", "max(target_5d_return)").first()
-    assert rows and all(low <= r.predicted_return <= high for r in rows)
+def test_forest_query(spark, sf, prepared):
+    """The held-out rows, each with the mean of 100 trees of the forest that test_trees.py checks."""
+    model = models.fit_forest(freeze(prepared.train), prepared.features)
+    assert len(model.trees) == 100 and max(len(t.value) for t in model.trees) > 32
+    want = values(models.score(model, prepared.test, prepared.features))
+    assert values(QUERIES["m6_random_forest"](spark, sf)) == want and len(want) == prepared.test.count()
 
 
-def test_ensemble_of_both_variants(spark, sf):
-    rows = QUERIES["m7_m8_boosted_ensemble"](spark, sf).collect()
-    scored = QUERIES["m5_ridge"](spark, sf).select("symbol", "date").collect()
-    assert {(r.symbol, r.date) for r in rows} == {(r.symbol, r.date) for r in scored}
-    assert all(math.isfinite(r.predicted_return) for r in rows)
+def test_ensemble_is_half_ridge_half_trees(spark, sf, prepared):
+    out = freeze(QUERIES["m7_m8_boosted_ensemble"](spark, sf))
+    train = freeze(prepared.train)
+    cut = chronology(train, lambda n: [int(n * 0.85)]).cuts[0]
+    line = values(models.score(models.fit_ridge(train.filter(cut.before()), prepared.features), prepared.test, prepared.features))
+    level, both = values(out, "by_level"), values(out)
+    assert all(both[k] == pytest.approx((line[k] + level[k]) / 2, rel=1e-9) for k in line) and both.keys() == line.keys()
+    assert values(out, "by_leaf") != level
 
 
-def test_model_backtest(spark, sf):
-    rows = QUERIES["c13_model_backtest"](spark, sf).orderBy("date").collect()
-    days = [r.date for r in rows]
-    assert len(set(days)) == len(days) > 5 and all(math.isfinite(r.portfolio_value) for r in rows)
+def test_board_of_fitted_models(spark, sf, prepared):
+    """Each row equals the model's own fit scored by itself."""
+    rows = {r.name: r for r in QUERIES["m13_fitted_board"](spark, sf).collect()}
+    assert set(rows) == {"Ridge", "RandomForest", "GradientBoosted", "LeafwiseBoosted"}
+    train = freeze(prepared.train)
+    cut = chronology(train, lambda n: [int(n * 0.85)]).cuts[0]
+    for name, model in training.board_fits(train, prepared.features, forest=False).items():
+        late = models.score(model, train.filter(~cut.before()), prepared.features, "p")
+        one = metrics.evaluate(freeze(late), models.TARGET, "p").first()
+        assert [rows[name][c] for c in metrics.METRICS] == pytest.approx([one[c] for c in metrics.METRICS], rel=1e-6)
 
 
-def test_recommended_assets(spark, sf):
-    rows = QUERIES["c14_model_recommendations"](spark, sf).collect()
-    assert 0 < len(rows) <= 10 and len({r.date for r in rows}) == 1
+def test_model_backtest(spark, sf, gold):
+    """The curve is that of the mean of ridge and trees, fitted apart here."""
+    rows = {r.date: r.portfolio_value for r in QUERIES["c13_model_backtest"](spark, sf).collect()}
+    parts = [freeze(training.out_of_sample(gold[0], layout=gold[1], fits=(f,))) for f in (models.fit_ridge, models.fit_boosted)]
+    mean = (F.col("a.predicted_return") + F.col("b.predicted_return")) / 2
+    both = parts[0].alias("a").join(parts[1].alias("b"), ["date", "symbol"])
+    both = freeze(both.select("date", "symbol", mean.alias("predicted_return"), "a.return_1d"))
+    want = {r.date: r.portfolio_value for r in backtest.backtest(both).collect()}
+    assert rows.keys() == want.keys() and len(rows) > 5
+    assert all(rows[d] == pytest.approx(want[d], abs=0.02, rel=1e-6) for d in want)
 
 
 def test_entry(spark):

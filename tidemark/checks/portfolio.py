@@ -1,4 +1,4 @@
-"""Registered queries: splits, preparation, metrics, models, backtest, recommendations, pages, ticks."""
+"""Registered queries: splits, metrics, backtest, recommendations, pages, ticks."""
 
 from __future__ import annotations
 
@@ -7,15 +7,14 @@ import uuid
 from pyspark.sql import functions as F
 
 from tidemark.checks import views
-from tidemark.checks.market import FRAGMENT_SQL, _full_windows, mart_from, scored_by_tokens
+from tidemark.checks.market import FRAGMENT_SQL, _full_windows, mart_from
 from tidemark.checks.views import rnd, rounded, rounded_col, sql
 from tidemark.functions.scalars import inferred_asset_class
 from tidemark.operators import backtest as bt
-from tidemark.operators import metrics, models, recommend
-from tidemark.operators.quantiles import exact_quantiles
-from tidemark.operators.split import chronological_split, chronology, walk_forward
+from tidemark.operators import metrics, recommend
+from tidemark.operators.split import chronological_split, walk_forward
 from tidemark.operators.technical import technical_indicators
-from tidemark.plans import gold, overview, training
+from tidemark.plans import overview
 from tidemark.scale import ensure_checkpoint_dir, freeze
 from tidemark.sources.reference_data import pairs
 from tidemark.streaming import ticks
@@ -51,7 +50,7 @@ FEATURES_SQL = _full_windows(
 )
 
 # ---------------------------------------------------------------------------
-# splits and preparation
+# splits
 # ---------------------------------------------------------------------------
 
 
@@ -86,64 +85,6 @@ def folds(spark, sf):
     return out
 
 
-_IMPUTED = ", ".join(
-    f"coalesce(last_value({c} IGNORE NULLS) OVER (PARTITION BY symbol ORDER BY date ROWS BETWEEN"
-    f" UNBOUNDED PRECEDING AND CURRENT ROW), 0) AS {c}"
-    for c in INPUTS
-)
-PREPARED_SQL = f"""
-    , lab AS (SELECT * FROM feat WHERE target_5d_return IS NOT NULL)
-    , imp AS (SELECT symbol, date, target_5d_return, {_IMPUTED} FROM lab)
-    , q AS (SELECT {", ".join(f"quantile_cont({c}, 0.01) AS lo_{c}, quantile_cont({c}, 0.99) AS hi_{c}" for c in INPUTS)} FROM imp)
-    , win AS (SELECT symbol, date, target_5d_return,
-        {", ".join(f"greatest(lo_{c}, least(hi_{c}, {c})) AS {c}" for c in INPUTS)},
-        row_number() OVER (ORDER BY date, symbol) - 1 AS i, count(*) OVER () AS n
-        FROM imp CROSS JOIN q)
-    , st AS (SELECT {", ".join(f"avg({c}) AS m_{c}, stddev_pop({c}) AS s_{c}" for c in INPUTS)}
-        FROM win WHERE i < floor(n * 0.85))
-    , prep AS (SELECT symbol, date, target_5d_return, i < floor(n * 0.85) AS is_train,
-        {", ".join(f"({c} - m_{c}) / (s_{c} + 1e-8) AS {c}" for c in INPUTS)}
-        FROM win CROSS JOIN st)
-"""
-
-
-@register(
-    "a10_quantiles",
-    sql(FEATURES_SQL + " UNION ALL ".join(
-        f"SELECT '{c}' AS feature, {rnd(f'quantile_cont({c}, 0.01)')} AS q01,"
-        f" {rnd(f'quantile_cont({c}, 0.99)')} AS q99 FROM feat" for c in INPUTS), "prices"),
-)
-def quantiles(spark, sf):
-    rows, _ = features(spark, sf)
-    found = exact_quantiles(rows, INPUTS, (0.01, 0.99))
-    out = spark.createDataFrame(
-        [(c, lo, hi) for c, (lo, hi) in found.items()], "feature string, q01 double, q99 double"
-    )
-    return rounded(out, 6)
-
-
-@register(
-    "w18_impute",
-    sql(FEATURES_SQL + f", imp AS (SELECT symbol, date, {_IMPUTED} FROM feat) SELECT symbol, date, "
-        + ", ".join(f"{rnd(c, 5)} AS {c}" for c in INPUTS) + " FROM imp", "prices"),
-)
-def imputed(spark, sf):
-    rows, layout = features(spark, sf)
-    return rounded(models.impute(rows, INPUTS, layout).select("symbol", "date", *INPUTS), 5)
-
-
-@register(
-    "m1_p21_p22_preprocess",
-    sql(FEATURES_SQL + PREPARED_SQL + "SELECT symbol, date, is_train, "
-        + ", ".join(f"{rnd(c)} AS {c}" for c in INPUTS) + " FROM prep", "prices"),
-)
-def prepared_rows(spark, sf):
-    rows, layout = features(spark, sf)
-    found = models.preprocess(rows, INPUTS, layout=layout)
-    out = found.rows.withColumn("is_train", found.cut.before())
-    return rounded(out.select("symbol", "date", "is_train", *INPUTS), 6)
-
-
 # ---------------------------------------------------------------------------
 # metrics
 # ---------------------------------------------------------------------------
@@ -206,103 +147,16 @@ RUNS = ("return_1d", "return_20d", "volatility_20d")
         for p in RUNS), "prices"),
 )
 def board(spark, sf):
-    rows = freeze(predictions(spark, sf))
-    long = None
-    for p in RUNS:
-        part = metrics.as_long(metrics.evaluate(rows, "target_5d_return", p), p)
-        long = part if long is None else long.unionByName(part)
-    runs = spark.createDataFrame([(p, p) for p in RUNS], "run_uuid string, name string")
-    return rounded(metrics.leaderboard(runs, freeze(long)), 6)
-
-
-# ---------------------------------------------------------------------------
-# models
-# ---------------------------------------------------------------------------
-
-
-@register(
-    "m5_ridge",
-    sql(FEATURES_SQL + PREPARED_SQL + f""", tr AS (SELECT target_5d_return AS y, return_1d AS a,
-            volatility_20d AS b FROM prep WHERE is_train)
-        , mu AS (SELECT avg(y) AS my, avg(a) AS ma, avg(b) AS mb FROM tr)
-        , s AS (SELECT sum((a - ma) * (a - ma)) + 1 AS aa, sum((b - mb) * (b - mb)) + 1 AS bb,
-            sum((a - ma) * (b - mb)) AS ab, sum((a - ma) * (y - my)) AS ay,
-            sum((b - mb) * (y - my)) AS byy FROM tr CROSS JOIN mu)
-        , w AS (SELECT (ay * bb - byy * ab) / (aa * bb - ab * ab) AS wa,
-            (byy * aa - ay * ab) / (aa * bb - ab * ab) AS wb FROM s)
-        SELECT symbol, date, {rnd("my + wa * (return_1d - ma) + wb * (volatility_20d - mb)")}
-            AS predicted_return FROM prep CROSS JOIN mu CROSS JOIN w WHERE NOT is_train""", "prices"),
-)
-def ridge(spark, sf):
-    rows, layout = features(spark, sf)
-    found = models.preprocess(rows, INPUTS, layout=layout)
-    names = ["return_1d", "volatility_20d"]
-    model = models.fit_ridge(found.train, names, alpha=1.0)
-    scored = models.score(model, found.test, names)
-    return rounded(scored.select("symbol", "date", "predicted_return"), 6)
-
-
-@register("m6_random_forest")
-def forest(spark, sf):
-    rows, layout = gold_table(spark, sf)
-    found = models.preprocess(rows, layout=layout)
-    model = models.fit_forest(freeze(found.train), found.features)
-    return models.score(model, found.test, found.features).select("symbol", "date", "predicted_return")
-
-
-# the second set of tree parameters: deeper trees
-VARIANTS = ({}, {"depth": 6})
-
-
-@register("m7_m8_boosted_ensemble")
-def boosted(spark, sf):
-    rows, layout = gold_table(spark, sf)
-    found = models.preprocess(rows, layout=layout)
-    train = freeze(found.train)
-    cut = chronology(train, lambda n: [int(n * 0.85)]).cuts[0]
-    flagged = freeze(train.withColumn("late", ~cut.before()))
-    trees = [models.fit_boosted(flagged, found.features, validation="late", **v) for v in VARIANTS]
-    line = models.fit_ridge(train, found.features)
-    out = models.ensemble_score([line, *trees], found.test, found.features)
-    return out.select("symbol", "date", "predicted_return")
-
-
-@register("m4_search")
-def searched(spark, sf):
-    rows, layout = gold_table(spark, sf)
-    found = models.preprocess(rows, layout=layout)
-    _, trials = models.search(
-        freeze(found.train), found.features, models.fit_ridge, models.RIDGE_RANGES
-    )
-    return trials.select("trial", F.col("params")["alpha"].alias("alpha"), "cv_sharpe")
-
-
-def gold_table(spark, sf):
-    """The whole gold table with every input of the models."""
-    layout = views.price_layout(spark, sf)
-    tables = (view(spark, sf) for view in (views.stocks, views.crypto, views.macro, views.news))
-    return freeze(gold.gold_features(*tables, score=scored_by_tokens, layout=layout)), layout
-
-
-@register("c13_model_backtest")
-def model_backtest(spark, sf):
-    rows, layout = gold_table(spark, sf)
-    return rounded(training.run_backtest(rows, layout=layout), 2)
-
-
-@register("c14_model_recommendations")
-def model_recommendations(spark, sf):
-    rows, layout = gold_table(spark, sf)
-    return recommend.recommendations(freeze(training.assess_latest(rows, layout)))
+    found = freeze(metrics.evaluate_all(predictions(spark, sf), "target_5d_return", RUNS))
+    runs = found.select("run_uuid", F.col("run_uuid").alias("name"))
+    return rounded(metrics.leaderboard(runs, metrics.as_entries(found)), 6)
 
 
 # ---------------------------------------------------------------------------
 # backtest
 # ---------------------------------------------------------------------------
 
-_BT = """
-    , pr AS (SELECT date, symbol, return_20d AS predicted_return, return_1d FROM feat
-             WHERE return_20d IS NOT NULL)
+_DAYS = """
     , dy AS (SELECT date, count(*) AS n, avg(coalesce(return_1d, 0)) AS bench FROM pr GROUP BY date)
     , c1 AS (SELECT *, row_number() OVER (ORDER BY date) - 1 AS idx, n >= 10 AS tradable FROM dy)
     , c2 AS (SELECT *, tradable AND idx % 5 = 0 AS reb FROM c1)
@@ -337,6 +191,18 @@ _BT = """
 """
 
 
+
+def backtest_sql(signal: str = "return_20d", gain: str = "return_1d", source: str = "feat") -> str:
+    """The days of a backtest that trades on ``signal`` and earns ``gain``."""
+    return f"""
+    , pr AS (SELECT date, symbol, {signal} AS predicted_return, {gain} AS return_1d FROM {source}
+             WHERE {signal} IS NOT NULL)
+    """ + _DAYS
+
+
+_BT = backtest_sql()
+
+
 def backtest_input(spark, sf):
     rows, _ = features(spark, sf)
     return rows.filter(F.col("return_20d").isNotNull()).select(
@@ -360,9 +226,7 @@ def backtest_days(spark, sf):
 _LAGGED = """
     , late AS (SELECT date, symbol, return_1d, lag(return_20d) OVER (PARTITION BY symbol ORDER BY date) AS signal
                FROM feat WHERE return_20d IS NOT NULL)
-""" + _BT.replace("return_20d AS predicted_return, return_1d FROM feat\n             WHERE return_20d IS NOT NULL",
-                  "signal AS predicted_return, return_1d FROM late WHERE signal IS NOT NULL")
-assert "FROM late" in _LAGGED
+""" + backtest_sql("signal", source="late")
 
 
 @register(
@@ -391,7 +255,7 @@ def calm_report(spark, sf):
     return freeze(bt.backtest(rows))
 
 
-_CALM = _BT.replace("return_20d AS predicted_return, return_1d FROM", "return_20d AS predicted_return, return_1d / 1000 AS return_1d FROM")
+_CALM = backtest_sql(gain="return_1d / 1000")
 _STATS = """
     , e AS (SELECT date, portfolio_value AS v, benchmark_value AS b,
               CASE WHEN row_number() OVER (ORDER BY date) > 1 THEN f - 1 END AS r,
@@ -450,15 +314,19 @@ def totals(spark, sf):
 CONTRIBUTING = {"return_1d": 0.37, "return_20d": -0.21, "volatility_20d": 0.113}
 
 _LATEST = """
-    , latest AS (SELECT * FROM feat WHERE date = (SELECT max(date) FROM feat))
-    , top AS (SELECT max(abs(return_20d)) AS m FROM latest)
+    , latest AS (SELECT *, return_20d AS predicted, volatility_20d AS vol FROM feat WHERE date = (SELECT max(date) FROM feat))
 """
 _CONTRIB = "[" + ", ".join(
     f"{{'v': {c} * CAST({w} AS DOUBLE), 'i': {i}, 'n': '{c}'}}"
     for i, (c, w) in enumerate(CONTRIBUTING.items())
 ) + "]"
-_ASSESSED = f"""
-    , con AS (SELECT symbol, unnest({_CONTRIB}) AS s FROM latest)
+
+
+def assessed_sql(contributions: str) -> str:
+    """ass: the assets of ``latest`` (symbol, date, predicted, vol) with confidence, risk and the strongest inputs."""
+    return f"""
+    , top AS (SELECT max(abs(predicted)) AS m FROM latest)
+    , con AS (SELECT symbol, unnest({contributions}) AS s FROM latest)
     , con2 AS (SELECT symbol, s.v AS v, s.n AS n,
         row_number() OVER (PARTITION BY symbol, sign(s.v) ORDER BY abs(s.v) DESC) AS k FROM con)
     , txt AS (SELECT symbol,
@@ -466,14 +334,16 @@ _ASSESSED = f"""
             ', ' ORDER BY k), '') || ' | Neg: ' ||
         coalesce(string_agg(CASE WHEN v < 0 AND k <= 2 THEN n || printf(' (%.4f)', v) END,
             ', ' ORDER BY k), '') AS explainability FROM con2 GROUP BY symbol)
-    , ass AS (SELECT l.symbol, date, return_20d AS predicted, volatility_20d AS vol,
-        CASE WHEN m <= 0 THEN 50.0 ELSE greatest(10.0, least(99.0, abs(return_20d) / m * 100)) END AS conf,
-        CASE WHEN volatility_20d < 0.015 THEN 'Low' WHEN volatility_20d < 0.035 THEN 'Medium'
-             ELSE 'High' END AS risk, explainability
+    , ass AS (SELECT l.symbol, date, predicted, vol,
+        CASE WHEN top.m <= 0 THEN 50.0 ELSE greatest(10.0, least(99.0, abs(predicted) / top.m * 100)) END AS conf,
+        CASE WHEN vol < 0.015 THEN 'Low' WHEN vol < 0.035 THEN 'Medium' ELSE 'High' END AS risk, explainability
         FROM latest l JOIN txt ON l.symbol = txt.symbol CROSS JOIN top)
 """
 
 
+_ASSESSED = assessed_sql(_CONTRIB)
+
+
 def assessed(spark, sf):
     rows, _ = features(spark, sf)
     newest = recommend.latest_slice(rows).withColumn("predicted_return", F.col("return_20d"))

@@ -4,9 +4,9 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from tidemark.checks import cleaning, market, portfolio, storage
+from tidemark.checks import cleaning, learning, market, portfolio, storage
 
-MODULES = (market, cleaning, portfolio, storage)
+MODULES = (market, cleaning, portfolio, learning, storage)
 
 
 def queries() -> dict[str, Callable]:

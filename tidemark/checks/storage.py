@@ -16,7 +16,7 @@ from tidemark.operators import metrics, quality
 from tidemark.plans import training
 from tidemark.scale import ensure_checkpoint_dir, freeze
 from tidemark.sources import landing, reference_data, schemas, warehouse
-from tidemark.sources.lake import Lake, as_view, run_sql
+from tidemark.sources.lake import Lake, as_table, as_view, run_sql
 
 QUERIES: dict = {}
 SQL: dict[str, str] = {}
@@ -52,12 +52,17 @@ def lake_round_trip(spark, sf):
     return narrow(lake.read("bars", "gold", essential=True))
 
 
-@register("s2_optional_table", sql("SELECT count(*) - count(*) AS n_news, count(*) AS n_bars FROM bars", "bars"))
+@register("s2_optional_table", sql("""SELECT symbol, count(*) AS n_days, 0::BIGINT AS n_coins,
+    count(*) FILTER (WHERE asset_class = 'crypto') AS n_coins_later FROM prices GROUP BY symbol""", "prices"))
 def optional_table(spark, sf):
-    """A missing optional table is an empty one of its schema."""
-    missing = new_lake(spark).read("news", "silver")
-    found = missing.select("title").unionByName(views.bars(spark, sf).select(F.lit(None).cast("string").alias("title")))
-    return found.agg(F.count("title").alias("n_news"), F.count(F.lit(1)).alias("n_bars"))
+    """Bars beside the optional crypto table, before and after it is there."""
+    lake, rows = new_lake(spark), freeze(views.prices(spark, sf))
+    days = rows.groupBy("symbol").agg(F.count(F.lit(1)).alias("n_days"))
+    for name in ("n_coins", "n_coins_later"):
+        coins = lake.read("crypto", "silver").groupBy("symbol").agg(F.count(F.lit(1)).alias(name))
+        days = freeze(days.join(coins, "symbol", "left").withColumn(name, F.coalesce(name, F.lit(0).cast("long"))))
+        lake.write(rows.filter("asset_class = 'crypto'"), "crypto", "silver")
+    return days
 
 
 @register("s9_stored_or_catalog_table", sql(
@@ -75,8 +80,12 @@ def stored_or_catalog(spark, sf):
 @register("s13_k2_k3_views", sql(
     "SELECT symbol, count(*) AS n_days, max(date) AS last_day FROM bars GROUP BY symbol", "bars"))
 def views_and_sql(spark, sf):
+    """A query over a view, kept as a table that takes the place of one with other columns."""
     rows = as_view(views.bars(spark, sf), f"v{uuid.uuid4().hex[:12]}")
-    return run_sql(spark, "SELECT symbol, count(*) AS n_days, max(date) AS last_day FROM {bars} GROUP BY symbol", bars=rows)
+    found = run_sql(spark, "SELECT symbol, count(*) AS n_days, max(date) AS last_day FROM {bars} GROUP BY symbol", bars=rows)
+    name = f"k3_{uuid.uuid4().hex[:12]}"
+    as_table(rows.select("date"), name)
+    return as_table(found, name)
 
 
 @register("s14_discovered_tables", sql("""SELECT unnest(['bars', 'bronze_macro', 'gold_macro']) AS "table",
@@ -92,6 +101,22 @@ def discovered(spark, sf):
     return lake.tables(prefix).select(F.substring_index("table", prefix, -1).alias("table"), "n_columns")
 
 
+@register("s14_partitioned_table", sql(f"""SELECT symbol, date, trade_count, {rnd('close', 4)} AS close, year(date)::INTEGER AS year,
+    CASE WHEN symbol::INTEGER % 2 = 1 THEN {rnd('vwap', 4)} END AS vwap FROM bars""", "bars"))
+def discovered_partitions(spark, sf):
+    """A table folder by year that gains a column and years after it was registered."""
+    lake, prefix = new_lake(spark), f"p{uuid.uuid4().hex[:12]}_"
+    rows = freeze(views.bars(spark, sf).withColumn("year", F.year("date")).select(
+        "symbol", "date", "trade_count", "close", "vwap", "year"))
+    even = F.col("symbol").cast("int") % 2 == 0
+    lake.write(rows.filter(even & (F.col("year") % 2 == 0)).drop("vwap"), "bars", "gold", partition_by=["year"])
+    lake.discover(prefix)
+    lake.write(rows.filter(~even), "bars", "gold", mode="append", partition_by=["year"])
+    lake.write(rows.filter(even & (F.col("year") % 2 == 1)).drop("vwap"), "bars", "gold", mode="append", partition_by=["year"])
+    lake.discover(prefix)
+    return rounded(lake.load_table(f"{prefix}bars"), 4)
+
+
 @register("c15_k6_sync", sql(
     NARROW + "bars WHERE date >= (SELECT max(date) FROM bars) - 30", "bars"))
 def synced(spark, sf):

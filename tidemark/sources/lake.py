@@ -96,9 +96,12 @@ class Lake:
         return sorted(s.getPath().getName() for s in fs.listStatus(target))
 
     def discover(self, prefix: str = "lake_") -> list[str]:
-        """Register every table folder of every layer; a known table gets its new schema.
+        """Register every table folder of every layer, partitions and columns of all files included.
 
-        A name used in two layers carries its layer, so that neither hides the other."""
+        A known table is brought up to date where it stands: new columns are added, partitions
+        follow the folders. It is entered anew only if a column has gone or changed its type, or
+        the partitioning has changed. A name used in two layers carries its layer, so that
+        neither hides the other."""
         found = [(layer, n) for layer in LAYERS for n in self._children(f"{self.root}/{layer}")
                  if not n.startswith(("_", "."))]
         names = [n for _, n in found]
@@ -106,15 +109,53 @@ class Lake:
         for layer, name in found:
             table = f"{prefix}{name}" if names.count(name) == 1 else f"{prefix}{layer}_{name}"
             table = table.replace("-", "_").replace(".", "_")
-            # external: dropping the entry leaves the files alone, which a managed one would lose
-            if self.spark.catalog.tableExists(table):
-                if self.spark.catalog.getTable(table).tableType == "MANAGED":
-                    raise ValueError(f"{table} is a managed table of that name")
-                self.spark.sql(f"DROP TABLE {table}")
-            self.spark.catalog.createTable(table, path=self.path(name, layer), source=self.fmt)
-            registered.append(table)
+            if self._register(table, self.path(name, layer)):
+                registered.append(table)
         return registered
 
+    def _register(self, table: str, path: str) -> bool:
+        """False for a folder in which no file tells its columns."""
+        catalog, quoted = self.spark.catalog, f"`{table}`"
+        try:
+            schema = self.spark.read.format(self.fmt).option("mergeSchema", "true").load(path).schema
+        except AnalysisException as error:
+            if error.getCondition() == "UNABLE_TO_INFER_SCHEMA":
+                return False
+            raise
+        partitions = self._partition_columns(path)
+        if catalog.tableExists(table):
+            # external: dropping the entry leaves the files alone, which a managed one would lose
+            if catalog.getTable(table).tableType == "MANAGED":
+                raise ValueError(f"{table} is a managed table of that name")
+            known = {f.name: f.dataType for f in self.spark.table(table).schema}
+            split = [c.name for c in catalog.listColumns(table) if c.isPartition]
+            added = [f for f in schema if f.name not in known and f.name not in partitions]
+            kept = all(f.dataType == known.get(f.name) for f in schema if f not in added)
+            if split == partitions and kept and set(known) <= set(schema.names):
+                if added:
+                    columns = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in added)
+                    self.spark.sql(f"ALTER TABLE {quoted} ADD COLUMNS ({columns})")
+            else:
+                self.spark.sql(f"DROP TABLE {quoted}")
+        if not catalog.tableExists(table):
+            data = [f for f in schema if f.name not in partitions]
+            columns = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in [*data, *[schema[c] for c in partitions]])
+            location = path.replace("'", r"\'")
+            by = f"PARTITIONED BY ({', '.join(f'`{c}`' for c in partitions)})" if partitions else ""
+            self.spark.sql(f"CREATE TABLE {quoted} ({columns}) USING {self.fmt} {by} LOCATION '{location}'")
+        if partitions:
+            self.spark.sql(f"MSCK REPAIR TABLE {quoted} SYNC PARTITIONS")
+        catalog.refreshTable(table)
+        return True
+
+    def _partition_columns(self, path: str) -> list[str]:
+        """Names of the key=value folders below a table folder, outermost first."""
+        out = []
+        while keyed := [n for n in self._children(path) if "=" in n and not n.startswith(("_", "."))]:
+            out.append(keyed[0].partition("=")[0])
+            path = f"{path}/{keyed[0]}"
+        return out
+
     def tables(self, prefix: str = "lake_") -> DataFrame:
         """Registered tables and how many columns each has."""
         rows = [
