@@ -19,9 +19,10 @@ from tidemark.functions import text
 from tidemark.operators import backtest, metrics, models, recommend
 from tidemark.operators.macro import as_of_join, macro_features
 from tidemark.operators.technical import mart_technicals, technical_indicators
-from tidemark.plans import gold, marts, news, silver
+from tidemark.plans import gold, marts, news, overview, silver
 from tidemark.session import build_session
 from tidemark.sources.reference_data import NEWS_GROUPS
+from tidemark.streaming import ticks
 
 RUNS = int(os.environ.get("BENCH_RUNS", "3"))
 
@@ -90,7 +91,7 @@ def main() -> None:
         "evaluate": lambda: metrics.evaluate(labelled, "target_5d_return", "return_20d"),
         "backtest": lambda: backtest.statistics(backtest.backtest(signal)),
         "recommendations": recommended,
-        "latest_ticks": lambda: portfolio.live(spark, sf),
+        "latest_ticks": lambda: overview.live_ticks(ticks.newest_per_key(ticks.to_items(views.ticks(spark, sf)))),
         "match_tickers": lambda: articles.select(
             text.match_tickers("title", "description", F.array(*[F.lit(t) for t in NEWS_GROUPS[0][1]]))
         ),

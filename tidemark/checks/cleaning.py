@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import re
+import uuid
+
 from pyspark.sql import functions as F
 
 from tidemark.checks import views
@@ -19,8 +22,9 @@ from tidemark.operators.dedup import keep_first
 from tidemark.operators.series import over_series
 from tidemark.operators.technical import forward_targets, technical_indicators
 from tidemark.plans import gold, marts, news, silver
+from tidemark.scale import ensure_checkpoint_dir
 from tidemark.sources import landing
-from tidemark.sources.lake import last_days
+from tidemark.sources.lake import Lake, last_days
 
 QUERIES: dict = {}
 SQL: dict[str, str] = {}
@@ -345,6 +349,28 @@ def write_suite(spark, sf):
     return quality.run_suite(rows, quality.write_suite("stocks"))
 
 
+@register(
+    "q4_checked_write",
+    sql(_report("prices", [
+        ("not_null(symbol)", _bad("symbol IS NULL")),
+        ("not_null(timestamp)", _bad("date IS NULL")),
+        ("min_value(close >= 0.01)", _bad("close < 0.01")),
+        ("min_value(volume >= 0)", _bad("volume < 0")),
+        ("column_exists(sector)", "0 * count(*)"),
+        ("column_exists(industry)", "0 * count(*)"),
+        ("min_value(volume >= 100)", _bad("volume < 100")),
+        ("unique(symbol)", "count(*) - count(DISTINCT symbol)"),
+        ("rows >= 1000000000", "1000000000 - count(*)"),
+    ]), "prices"),
+)
+def checked_write(spark, sf):
+    """The suite of the silver write and three rules that fail, counted while the table is written."""
+    rows = views.prices(spark, sf).withColumnRenamed("date", "timestamp")
+    rules = [*quality.write_suite("stocks"), quality.min_value("volume", 100), quality.unique("symbol"), quality.min_rows(10**9)]
+    lake = Lake(spark, f"{ensure_checkpoint_dir(spark).rstrip('/')}/lake-{uuid.uuid4().hex}")
+    return quality.write_checked(rows, rules, lambda df: lake.write(df, "stocks", "silver"), lambda: lake.read("stocks", "silver"))
+
+
 _TWICE = "(SELECT * FROM bars UNION ALL SELECT * FROM bars WHERE CAST(volume AS BIGINT) % 9 = 0)"
 
 
@@ -511,6 +537,37 @@ def model_scores(spark, sf):
     return rounded(text.with_model_scores(rows, length_scorer).drop("title"), 6)
 
 
+def ascii_words():
+    return lambda t: [m.span() for m in re.finditer(r"[^\x20\x09-\x0D]+", t)]
+
+
+def window_scorer():
+    """A stand-in for a classifier with a window: tells how many words and characters it was given."""
+
+    def score(texts):
+        words = ascii_words()
+        return [{"Positive": len(words(t)) / 1000, "Negative": len(t) % 1000 / 1000, "Neutral": 0.0} for t in texts]
+
+    return score
+
+
+@register(
+    "t5_token_window",
+    rf"""WITH w AS (SELECT doc_id, coalesce(text, '') AS t, len(regexp_extract_all(coalesce(text, ''), '[^ 	-
+]+')) AS n FROM documents),
+        c AS (SELECT doc_id, least(n, 512) / 1000.0 AS p, length(CASE WHEN n > 512
+            THEN regexp_extract(t, '^(?:[ 	-
+]*[^ 	-
+]+){{512}}') ELSE t END) % 1000 / 1000.0 AS q FROM w)
+        SELECT doc_id, {rnd("p")} AS sentiment_pos, {rnd("q")} AS sentiment_neg, 0::DOUBLE AS sentiment_neu,
+            {rnd("p - q")} AS sentiment_net FROM c""",
+)
+def token_window(spark, sf):
+    """Whole documents, most of them longer than the window."""
+    rows = views.table(spark, sf, "documents").select("doc_id", "text")
+    return rounded(text.with_model_scores(rows, window_scorer, "text", load_tokens=ascii_words).drop("text"), 6)
+
+
 @register(
     "t6_t7_explode_tickers",
     sql("""SELECT doc_id, trim(unnest(string_split(matched_tickers, ','))) AS ticker FROM articles""",

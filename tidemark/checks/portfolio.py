@@ -488,11 +488,13 @@ def classes(spark, sf):
 # ticks
 # ---------------------------------------------------------------------------
 
+# the second half of each day lands first, so the batch that wins is the one older in event time
 _ITEMS = """
+    , landed AS (SELECT *, CASE WHEN substr(timestamp, 12, 2) < '12' THEN 1 ELSE 0 END AS batch FROM ticks)
     , items AS (SELECT symbol, substr(timestamp, 1, 10) AS date,
-        arg_max(price, (timestamp, price, size)) AS price, arg_max(size, (timestamp, price, size)) AS size,
-        max(timestamp) AS last_updated, 'realtime_stream' AS feature_source
-        FROM ticks GROUP BY 1, 2)
+        arg_max(price, (batch, timestamp, price, size)) AS price, arg_max(size, (batch, timestamp, price, size)) AS size,
+        arg_max(timestamp, (batch, timestamp)) AS last_updated, 'realtime_stream' AS feature_source
+        FROM landed GROUP BY 1, 2)
 """
 
 
@@ -512,26 +514,19 @@ def shared_folder(spark, name: str) -> str:
     return f"{ensure_checkpoint_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
 
 
-def stored_ticks(spark, sf):
-    """Run the stream over the event file until it is drained and open its store."""
-    raw = spark.read.parquet(f"{sf}/events.parquet").schema
-    stream = ticks.file_source(spark, sf, fmt="parquet", schema=raw.simpleString()[7:-1].replace(":", " "),
-                               pattern="events.parquet")
-    lines = stream.select(
-        F.to_json(
-            F.struct(
-                F.col("user_id").cast("string").alias("symbol"),
-                F.col("value").alias("price"),
-                F.get_json_object("props", "$.k").cast("double").alias("size"),
-                F.date_format("ts", "yyyy-MM-dd'T'HH:mm:ss.SSSSSS").alias("timestamp"),
-                F.lit("events").alias("source"),
-            )
-        ).alias("value")
-    )
-    root = shared_folder(spark, "ticks")
-    store = ticks.TickStore(spark, f"{root}/store")
-    query = store.start(lines, f"{root}/checkpoint", once=True)
-    query.awaitTermination()
+def tick_lines(spark, sf):
+    rows = views.ticks(spark, sf).drop("event_id")
+    return rows.select(F.to_json(F.struct("*")).alias("value"), F.substring("timestamp", 12, 2).alias("hour"))
+
+
+def stored_ticks(spark, sf, **options):
+    """Two folders landed and drained one after the other, each as one batch of the same stream."""
+    root, lines = shared_folder(spark, "ticks"), freeze(tick_lines(spark, sf))
+    store = ticks.TickStore(spark, f"{root}/store", **options)
+    for k, part in enumerate((lines.filter("hour >= '12'"), lines.filter("hour < '12'"))):
+        ticks.land(part, f"{root}/landing", str(k))
+        stream = ticks.file_source(spark, f"{root}/landing/*")
+        store.start(stream, f"{root}/checkpoint", once=True).awaitTermination()
     return store
 
 
@@ -540,11 +535,41 @@ def tick_store(spark, sf):
     return stored_ticks(spark, sf).read()
 
 
+@register("k4_compacted_store", sql(_ITEMS + "SELECT * FROM items", "ticks"))
+def compacted(spark, sf):
+    """Folded into the base after each batch, by the store itself."""
+    return stored_ticks(spark, sf, buckets=4, compact_after=1).read()
+
+
 @register(
     "s11_live_ticks",
     sql(_ITEMS + """SELECT symbol, price, size, replace(substr(last_updated, 1, 19), 'T', ' ')
         AS last_updated FROM items ORDER BY symbol, date LIMIT 20""", "ticks"),
 )
 def live(spark, sf):
-    items = ticks.newest_per_key(ticks.to_items(views.ticks(spark, sf)))
-    return overview.live_ticks(items)
+    return overview.live_ticks(stored_ticks(spark, sf).read())
+
+
+@register(
+    "st4_st5_timed_batches",
+    sql("""SELECT (substr(timestamp, 12, 2)::INTEGER // 8)::BIGINT AS batch_id, count(*) AS n_rows,
+        count(*) FILTER (WHERE symbol::INTEGER % 9 = 0) AS n_rejected FROM ticks GROUP BY ALL""", "ticks"),
+)
+def timed_batches(spark, sf):
+    """A stream that looks every second, over three landings with lines that are no ticks."""
+    root, lines = shared_folder(spark, "timed-ticks"), tick_lines(spark, sf)
+    third = F.floor(F.col("hour").cast("int") / 8)
+    broken = F.get_json_object("value", "$.symbol").cast("int") % 9 == 0
+    value = F.when(broken, F.substring("value", 1, 20)).otherwise(F.col("value"))
+    lines = freeze(lines.select(value.alias("value"), third.alias("third")))
+    store = ticks.TickStore(spark, f"{root}/store")
+    ticks.land(lines.filter("third = 0"), f"{root}/landing", "0")
+    query = store.start(ticks.file_source(spark, f"{root}/landing/*"), f"{root}/checkpoint", seconds=1)
+    try:
+        for k in (0, 1, 2):
+            if k:
+                ticks.land(lines.filter(F.col("third") == k), f"{root}/landing", str(k))
+            query.processAllAvailable()
+    finally:
+        query.stop()
+    return store.batches().drop("finished")

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Callable, Iterator, Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame
@@ -78,9 +79,33 @@ def article_text(title: str | Column, description: str | Column) -> Column:
     )
 
 
-def _any_keyword(words: Sequence[str]) -> str:
-    quoted = "|".join(r"\Q" + w + r"\E" for w in words)
-    return rf"(?U)\b(?:{quoted})\b"
+def _pattern(words: Sequence[str]) -> str:
+    """Any of the words at a word's start, the longest first; words are grouped by first letter, so
+    that a place in the text is held against few of them. What is found is group 1."""
+    groups: dict[str, list[str]] = {}
+    for word in sorted(set(words), key=lambda w: (-len(w), w)):
+        groups.setdefault(word[:1], []).append(word[1:])
+    quoted = lambda w: r"\Q" + w + r"\E" if w else ""
+    options = "|".join(quoted(first) + "(?:" + "|".join(map(quoted, rest)) + r")\b" for first, rest in groups.items())
+    return rf"(?U)\b(?=({options}))"
+
+
+def _whole_prefix(short: str, long: str) -> bool:
+    return re.match(re.escape(short) + r"\b", long) is not None
+
+
+def keyword_tickers(text: Column, keywords: Mapping[str, Sequence[str]]) -> Column:
+    """Tickers that a keyword names as whole words in the lower-cased text, found in one scan.
+
+    The scan looks ahead from each word's start and so also finds words that overlap. Where one
+    keyword goes on as another, the longer is found and the literal map adds the shorter."""
+    meant = {w: [t for t, own in keywords.items() if any(_whole_prefix(k, w) for k in own)]
+             for own in keywords.values() for w in own}
+    if not meant:
+        return F.array().cast("array<string>")
+    named = F.create_map(*[x for w, ts in meant.items() for x in (F.lit(w), F.array(*map(F.lit, ts)))])
+    hits = F.array_distinct(F.regexp_extract_all(text, F.lit(_pattern(list(meant))), F.lit(1)))
+    return F.flatten(F.transform(hits, lambda w: F.element_at(named, w)))
 
 
 def match_tickers(
@@ -92,16 +117,10 @@ def match_tickers(
     """Candidates named as whole words in the article, in candidate order, comma-joined.
 
     ``query_tickers`` is an array. A candidate without keywords is named by its own symbol; no
-    match at all means every candidate. Only an article's few candidates are tested, inside
-    the row, so there is nothing to shuffle. The pattern of a keyword ticker is a literal, which
-    is compiled once for the job; only other candidates need a pattern of their own.
+    match at all means every candidate. The article is scanned once for all keywords with one
+    literal pattern, compiled once for the job; only other candidates need one of their own.
     """
-    text, query_tickers = article_text(title, description), query_tickers.cast("array<string>")
     own = lambda t: F.concat(F.lit(r"(?U)\b\Q"), F.lower(t), F.lit(r"\E\b"))
-    found = F.array(*[
-        F.when(F.array_contains(query_tickers, t) & F.rlike(text, F.lit(_any_keyword(words))), F.lit(t))
-        for t, words in keywords.items()
-    ])
 
     def named(ticker: Column, row: Column) -> Column:
         by_name = F.rlike(row["text"], own(ticker))
@@ -111,9 +130,11 @@ def match_tickers(
         return F.when(ticker.isin(*keywords), by_keyword).otherwise(by_name)
 
     # an array of one struct binds its fields, so that they are computed once, not per candidate
-    row = F.array(F.struct(text.alias("text"), found.alias("found"), query_tickers.alias("asked")))
+    row = F.array(F.struct(article_text(title, description).alias("text"), query_tickers.cast("array<string>").alias("asked")))
+    row = F.transform(row, lambda r: F.struct(
+        r["text"].alias("text"), r["asked"].alias("asked"), keyword_tickers(r["text"], keywords).alias("found")))
     hits = F.transform(row, lambda r: F.filter(r["asked"], lambda t: named(t, r)))[0]
-    return F.array_join(F.when(F.size(hits) > 0, hits).otherwise(query_tickers), ",")
+    return F.array_join(F.when(F.size(hits) > 0, hits).otherwise(query_tickers.cast("array<string>")), ",")
 
 
 def lexicon_sentiment(
@@ -152,6 +173,26 @@ def with_lexicon_scores(
 
 
 Scorer = Callable[[list[str]], list[Mapping[str, float]]]
+# (start, end) of each token of a text
+Tokens = Callable[[str], Sequence[tuple[int, int]]]
+WINDOW = 4096  # texts that are sorted by length before they are scored
+WINDOW_CHARS = 16 << 20
+
+
+def _windows(frames: Iterator, text: str) -> Iterator[list]:
+    """Frames in runs of about WINDOW rows, whatever the sizes they come in."""
+    held, rows, chars = [], 0, 0
+    for frame in frames:
+        for at in range(0, len(frame), WINDOW):
+            part = frame.iloc[at : at + WINDOW]
+            held.append(part)
+            rows += len(part)
+            chars += sum(len(t) for t in part[text] if isinstance(t, str))
+            if rows >= WINDOW or chars >= WINDOW_CHARS:
+                yield held
+                held, rows, chars = [], 0, 0
+    if held:
+        yield held
 
 
 def with_model_scores(
@@ -160,12 +201,18 @@ def with_model_scores(
     text: str = "title",
     batch_size: int = 32,
     fallback: Callable[[DataFrame], DataFrame] | None = None,
+    load_tokens: Callable[[], Tokens] | None = None,
+    max_tokens: int = 512,
 ) -> DataFrame:
     """Class scores of a model the caller brings, loaded once per Python worker.
 
     ``load_scorer`` returns a function from a list of texts to one mapping of class (positive,
-    negative, neutral) to score per text. With a ``fallback`` a batch the model fails on is
-    left null and scored by the fallback instead (word lists by default in the news plan).
+    negative, neutral) to score per text. ``load_tokens`` returns the model's tokenizer as a function
+    from a text to (start, end) of each token: texts are then cut after ``max_tokens`` of them. Texts
+    of like length are scored together, across the borders of Arrow batches, so that a model that
+    pads to the longest of a batch pads little; rows come out in the order they came. With a
+    ``fallback`` a batch the model fails on is left null and scored by the fallback instead (word
+    lists by default in the news plan).
     """
     schema = T.StructType(
         [f for f in df.schema.fields]
@@ -173,30 +220,43 @@ def with_model_scores(
     )
     swallow = fallback is not None
 
+    def scored_part(scorer, part: list[str]) -> list[tuple]:
+        results = [{k.lower(): float(v) for k, v in r.items()} for r in scorer(part)]
+        if len(results) != len(part):
+            raise ValueError("the scorer must return one result per text")
+        found = [(r.get("positive", 0.0), r.get("negative", 0.0), r.get("neutral", 0.0)) for r in results]
+        return [(pos, neg, neu, pos - neg) for pos, neg, neu in found]
+
     def score(frames: Iterator) -> Iterator:
-        scorer = None
-        for frame in frames:
-            texts = [t if isinstance(t, str) else "" for t in frame[text]]
-            found: list[tuple] = []
-            for start in range(0, len(texts), batch_size):
-                part = texts[start : start + batch_size]
+        scorer, tokens = None, load_tokens() if load_tokens else None
+        for held in _windows(frames, text):
+            texts, sizes = [], []
+            for t in (t for frame in held for t in frame[text]):
+                t = t if isinstance(t, str) else ""
+                spans = tokens(t) if tokens else ()
+                if len(spans) > max_tokens:
+                    t = t[: spans[max_tokens - 1][1]]
+                texts.append(t)
+                sizes.append(min(len(spans), max_tokens) if tokens else len(t))
+            order = sorted(range(len(texts)), key=sizes.__getitem__)
+            found: list[tuple] = [(None, None, None, None)] * len(texts)
+            for start in range(0, len(order), batch_size):
+                rows = order[start : start + batch_size]
                 try:
                     scorer = scorer or load_scorer()
-                    results = [{k.lower(): float(v) for k, v in r.items()} for r in scorer(part)]
-                    if len(results) != len(part):
-                        raise ValueError("the scorer must return one result per text")
-                    for r in results:
-                        pos, neg = r.get("positive", 0.0), r.get("negative", 0.0)
-                        found.append((pos, neg, r.get("neutral", 0.0), pos - neg))
+                    for row, result in zip(rows, scored_part(scorer, [texts[i] for i in rows])):
+                        found[row] = result
                 except Exception:
                     if not swallow:
                         raise
-                    found.extend([(None, None, None, None)] * len(part))
-            out = frame.copy()
-            for i, name in enumerate(SENTIMENT_COLUMNS):
-                out[name] = [row[i] for row in found]
-                out[name] = out[name].astype("float64")
-            yield out
+            at = 0
+            for frame in held:
+                out, own = frame.copy(), found[at : at + len(frame)]
+                at += len(frame)
+                for i, name in enumerate(SENTIMENT_COLUMNS):
+                    out[name] = [row[i] for row in own]
+                    out[name] = out[name].astype("float64")
+                yield out
 
     scored = df.mapInPandas(score, schema)
     if fallback is None:

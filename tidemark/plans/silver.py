@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
+from functools import partial
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.functions.scalars import lenient_date, lookup, strict_date
 from tidemark.operators.dedup import keep_first, latest_first
-from tidemark.operators.quality import run_suite, write_suite
+from tidemark.operators.quality import write_checked, write_suite
 from tidemark.sources import reference_data
 from tidemark.sources.lake import Lake
 
@@ -68,13 +70,15 @@ STEPS = {
 
 def build_silver(spark: SparkSession, lake: Lake) -> DataFrame | None:
     """Write every silver table whose bronze table exists and report the checks on what was
-    written. Failing checks do not stop a table."""
+    written, counted during the write. Failing checks do not stop a table."""
     result = None
     for table, step in STEPS.items():
         if not lake.exists(table, "bronze"):
             continue
-        lake.write(step(lake.read(table, "bronze")), table, "silver")
-        report = run_suite(lake.read(table, "silver"), write_suite(table))
+        report = write_checked(
+            step(lake.read(table, "bronze")), write_suite(table),
+            partial(lake.write, name=table, layer="silver"), partial(lake.read, table, "silver"),
+        )
         report = report.select(F.lit(table).alias("table"), "*")
         result = report if result is None else result.unionByName(report)
     return result

@@ -1,13 +1,8 @@
-"""Latest tick per (symbol, date) from a stream.
-
-Every micro-batch appends its latest rows per key in a folder named after the batch, so a replayed
-batch writes the same folder again and nothing stored is rewritten. Readers take the newest row
-per key over a compacted base and the batches after it.
-"""
+"""Latest tick per (symbol, date) from a stream: decoding, and a store of batches in hash buckets."""
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
@@ -16,6 +11,7 @@ from tidemark.sources.schemas import TABLES, TICK
 
 KEY = ["symbol", "date"]
 STORE_SCHEMA = TABLES[("gold", "feature_store")]
+BATCHES_SCHEMA = "batch_id long, n_rows long, n_rejected long"
 ARRIVAL = "_arrival"  # number of the batch that brought a row
 
 
@@ -86,26 +82,62 @@ def newest_per_key(items: DataFrame, *first: str) -> DataFrame:
     ).select(*[c for c in items.columns if c not in first])
 
 
+def land(lines: DataFrame, landing: str, name: str) -> None:
+    """Put lines into a new folder below ``landing``, which a stream over ``landing/*`` sees at once or not at all."""
+    jvm, conf = lines.sparkSession.sparkContext._jvm, lines.sparkSession.sparkContext._jsc.hadoopConfiguration()
+    made = jvm.org.apache.hadoop.fs.Path(f"{landing}-staged/{name}")
+    target = jvm.org.apache.hadoop.fs.Path(f"{landing}/{name}")
+    fs = target.getFileSystem(conf)
+    fs.mkdirs(target.getParent())
+    lines.select("value").write.mode("overwrite").text(made.toString())
+    if not fs.rename(made, target):
+        raise OSError(f"{target} could not be put in place")
+
+
 class TickStore:
-    """Append-only store of latest ticks under one folder."""
+    """Latest ticks under one folder, in hash buckets of their keys.
+
+    A batch appends its latest rows per key to the log, in a folder named after it, so a replayed
+    batch writes the same folder again. After ``compact_after`` batches the log is folded into the
+    base: only buckets that the log touched are written anew. A reader takes, per bucket, the
+    newest base and the batches after the last compaction; a lookup opens the one bucket of its
+    key, and in it the row groups whose bloom filter knows the symbol.
+    """
+
+    def __init__(self, spark: SparkSession, root: str, buckets: int = 16, compact_after: int = 20):
+        if buckets < 1 or compact_after < 1:
+            raise ValueError("a store has one bucket and one batch at least")
+        self.spark, self.root, self.buckets, self.compact_after = spark, root.rstrip("/"), buckets, compact_after
+
+    def bucket(self, symbol: Column, date: Column) -> Column:
+        return F.pmod(F.xxhash64(symbol, date), F.lit(self.buckets)).cast("int")
 
-    def __init__(self, spark: SparkSession, root: str):
-        self.spark, self.root = spark, root.rstrip("/")
+    def _save(self, rows: DataFrame, path: str) -> None:
+        rows = rows.withColumn("bucket", self.bucket(F.col("symbol"), F.col("date"))).repartition("bucket", "symbol")
+        rows.write.mode("overwrite").partitionBy("bucket").option("parquet.bloom.filter.enabled#symbol", "true").parquet(path)
 
     def write_batch(self, batch: DataFrame, batch_id: int) -> None:
-        """Good rows to the store, others to ``rejected``; both folders carry the batch id.
+        """Good rows to the log, others to ``rejected``, their numbers to ``batches``; all carry the batch id.
 
-        The batch is kept for the two writes, so its source is read once."""
+        The batch is kept for the writes, so its source is read once; the rows are counted as they
+        are written."""
         ticks = (decode(batch) if "value" in batch.columns else batch).persist()
         try:
-            good = newest_per_key(to_items(ticks.filter(is_valid())))
-            good = good.withColumn(ARRIVAL, F.lit(batch_id).cast("long"))
-            good.write.mode("overwrite").parquet(f"{self.root}/log/batch={batch_id}")
+            bad = ~F.coalesce(is_valid(), F.lit(False))
+            seen = Observation()
+            counted = ticks.observe(seen, F.count(F.lit(1)).alias("n_rows"), F.count_if(bad).alias("n_rejected"))
+            good = newest_per_key(to_items(counted.filter(~bad)))
+            self._save(good.withColumn(ARRIVAL, F.lit(batch_id).cast("long")), f"{self.root}/log/batch={batch_id}")
+            numbers = seen.get
             if "value" in ticks.columns:
-                bad = ticks.filter(~F.coalesce(is_valid(), F.lit(False))).select("value")
-                bad.write.mode("overwrite").text(f"{self.root}/rejected/batch={batch_id}")
+                ticks.filter(bad).select("value").write.mode("overwrite").text(f"{self.root}/rejected/batch={batch_id}")
+            row = [(batch_id, numbers["n_rows"], numbers["n_rejected"])]
+            row = self.spark.createDataFrame(row, BATCHES_SCHEMA).withColumn("finished", F.current_timestamp())
+            row.write.mode("overwrite").parquet(f"{self.root}/batches/batch={batch_id}")
         finally:
             ticks.unpersist()
+        if len(self._log()) >= self.compact_after:
+            self.compact()
 
     def start(
         self, stream: DataFrame, checkpoint: str, once: bool = False, seconds: int = 1
@@ -118,55 +150,87 @@ class TickStore:
         trigger = {"availableNow": True} if once else {"processingTime": f"{seconds} second"}
         return writer.trigger(**trigger).start()
 
+    def batches(self) -> DataFrame:
+        """(batch_id, n_rows, n_rejected, finished) of every batch written."""
+        paths = [f"{self.root}/batches/batch={n}" for n in self._numbers("batches", "batch=")]
+        schema = f"{BATCHES_SCHEMA}, finished timestamp"
+        return self.spark.read.schema(schema).parquet(*paths) if paths else self.spark.createDataFrame([], schema)
+
+    def rejected(self) -> DataFrame:
+        """(batch_id, value) of the lines that were no tick."""
+        if not self._children("rejected"):
+            return self.spark.createDataFrame([], "batch_id long, value string")
+        rows = self.spark.read.option("basePath", f"{self.root}/rejected").schema("value string, batch long").text(f"{self.root}/rejected")
+        return rows.select(F.col("batch").alias("batch_id"), "value")
+
     def _folder(self, name: str):
         jvm = self.spark.sparkContext._jvm
         path = jvm.org.apache.hadoop.fs.Path(f"{self.root}/{name}")
         return path.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration()), path
 
-    def _numbers(self, folder: str, prefix: str, above: int = -1) -> list[int]:
-        """Numbers above a bound whose folders are complete."""
+    def _children(self, folder: str) -> list[str]:
         fs, path = self._folder(folder)
-        if not fs.exists(path):
-            return []
-        names = [status.getPath().getName() for status in fs.listStatus(path)]
-        numbers = sorted(int(n[len(prefix) :]) for n in names if n.startswith(prefix))
-        done = (self._folder(f"{folder}/{prefix}{n}/_SUCCESS")[1] for n in numbers if n > above)
-        return [n for n, mark in zip((n for n in numbers if n > above), done) if fs.exists(mark)]
-
-    def _pending(self) -> tuple[list[str], int, int]:
-        """Folders that make up the store (the newest base and the batches after it), the newest
-        number among them, and that of the base."""
+        return [s.getPath().getName() for s in fs.listStatus(path)] if fs.exists(path) else []
+
+    def _numbers(self, folder: str, prefix: str) -> list[int]:
+        """Numbers whose folders are complete, ascending."""
+        numbers = sorted(int(n[len(prefix) :]) for n in self._children(folder) if n.startswith(prefix))
+        return [n for n in numbers if self._folder(f"{folder}/{prefix}{n}/_SUCCESS")[0].exists(
+            self._folder(f"{folder}/{prefix}{n}/_SUCCESS")[1])]
+
+    def _bases(self) -> dict[int, list[int]]:
+        """Per bucket the numbers of the bases that hold it, ascending."""
+        held: dict[int, list[int]] = {}
+        for upto in self._numbers("base", "upto="):
+            for bucket in self._buckets(f"base/upto={upto}"):
+                held.setdefault(bucket, []).append(upto)
+        return held
+
+    def _buckets(self, folder: str) -> list[int]:
+        return [int(n[len("bucket=") :]) for n in self._children(folder) if n.startswith("bucket=")]
+
+    def _log(self) -> list[int]:
+        """Batches after the last compaction."""
         bases = self._numbers("base", "upto=")
-        after = bases[-1] if bases else -1
-        batches = self._numbers("log", "batch=", after)
-        paths = [f"{self.root}/base/upto={after}"] if bases else []
-        return (
-            paths + [f"{self.root}/log/batch={b}" for b in batches],
-            batches[-1] if batches else after,
-            after,
-        )
+        return [b for b in self._numbers("log", "batch=") if b > (bases[-1] if bases else -1)]
 
-    def _newest(self, paths: list[str]) -> DataFrame:
-        rows = self.spark.read.schema(f"{STORE_SCHEMA}, {ARRIVAL} long").parquet(*paths)
-        return newest_per_key(rows, ARRIVAL)
+    def _paths(self, buckets: set[int] | None = None) -> list[str]:
+        """Bucket folders that make up the store, or those of some buckets."""
+        found = [f"base/upto={uptos[-1]}/bucket={b}" for b, uptos in self._bases().items() if buckets is None or b in buckets]
+        for batch in self._log():
+            found += [f"log/batch={batch}/bucket={b}" for b in self._buckets(f"log/batch={batch}") if buckets is None or b in buckets]
+        return [f"{self.root}/{name}" for name in found]
+
+    def _rows(self, paths: list[str]) -> DataFrame:
+        schema = f"{STORE_SCHEMA}, {ARRIVAL} long"
+        return self.spark.read.schema(schema).parquet(*paths) if paths else self.spark.createDataFrame([], schema)
 
     def read(self) -> DataFrame:
         """Latest item per key; a later batch wins over an earlier one."""
-        paths, _, _ = self._pending()
-        return self._newest(paths) if paths else self.spark.createDataFrame([], STORE_SCHEMA)
+        return newest_per_key(self._rows(self._paths()), ARRIVAL)
+
+    def lookup(self, symbol: str, date: str) -> DataFrame:
+        """The latest item of one key, from its bucket alone."""
+        bucket = self.spark.range(1).select(self.bucket(F.lit(symbol), F.lit(date))).first()[0]
+        rows = self._rows(self._paths({bucket}))
+        return newest_per_key(rows.filter((F.col("symbol") == symbol) & (F.col("date") == date)), ARRIVAL)
 
     def compact(self) -> int:
-        """Fold all finished batches into a new base; readers switch once it is complete.
-
-        Folders that the base before this one had already replaced are removed, so a reader that
-        listed the store has until the next compaction to finish."""
-        paths, upto, before = self._pending()
-        if upto > before:
-            base = self._newest(paths).withColumn(ARRIVAL, F.lit(upto).cast("long"))
-            base.write.mode("overwrite").parquet(f"{self.root}/base/upto={upto}")
-            old = [f"log/batch={n}" for n in self._numbers("log", "batch=") if n <= before]
-            old += [f"base/upto={n}" for n in self._numbers("base", "upto=") if n < before]
-            for name in old:
-                fs, path = self._folder(name)
-                fs.delete(path, True)
-        return upto
+        """Fold the log into the base; readers switch once it is complete. The last batch folded in.
+
+        What the base before had already replaced is removed, so a reader that listed the store
+        has until the next compaction to finish."""
+        log, bases = self._log(), self._bases()
+        known = self._numbers("base", "upto=")
+        before = known[-1] if known else -1
+        if not log:
+            return before
+        touched = {b for batch in log for b in self._buckets(f"log/batch={batch}")}
+        self._save(newest_per_key(self._rows(self._paths(touched)), ARRIVAL).withColumn(
+            ARRIVAL, F.lit(log[-1]).cast("long")), f"{self.root}/base/upto={log[-1]}")
+        old = [f"log/batch={n}" for n in self._numbers("log", "batch=") if n <= before]
+        old += [f"base/upto={n}/bucket={b}" for b, uptos in bases.items() for n in uptos[:-1]]
+        for name in old:
+            fs, path = self._folder(name)
+            fs.delete(path, True)
+        return log[-1]
