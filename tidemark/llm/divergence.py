@@ -50,7 +50,7 @@ def folded(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
     reducer at most once per task.
     """
     rows = docs.select(*[F.coalesce(F.col(f"`{c}`").cast("string"), F.lit("")).alias(c) for c in ("lang", "source", "text")])
-    rows = rows.withColumn("th", F.unhex(F.md5("text")))
+    rows = rows.withColumn("th", F.md5("text"))
     copies = store(rows.groupBy("lang", "source", "th").agg(F.count("*").alias("n")), "copies")
     lists = copies.groupBy("lang", "th").agg(F.collect_list(F.struct("source", "n")).alias("copies"))
     texts = rows.groupBy("lang", "th").agg(F.first("text").alias("text"))
@@ -58,16 +58,25 @@ def folded(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
 
 
 def weighted_counts(texts: DataFrame) -> DataFrame:
-    """(lang, source, term, cnt, docs) of folded texts: occurrences and documents, copies counted."""
-    schema = "lang string, source string, term string, cnt long, docs long"
+    """(lang, source, term, cnt, docs) of folded texts: occurrences and documents, copies counted.
+
+    A task passes a term on once with all its sources, so that the shuffle carries each word once
+    per task, and the sums per source need no further one.
+    """
+    schema = "lang string, term string, held array<struct<source: string, cnt: long, docs: long>>"
 
     def batch_of(found: dict) -> pa.RecordBatch:
-        rows = [(*key, term, n, docs[term]) for key, (cnt, docs) in found.items() for term, n in cnt.items()]
-        lang, source, term, cnt, docs = zip(*rows) if rows else [()] * 5
+        by_term: dict = defaultdict(list)
+        for (lang, source), (cnt, docs) in found.items():
+            for term, n in cnt.items():
+                by_term[lang, term].append((source, n, docs[term]))
+        lang, term = zip(*by_term) if by_term else ((), ())
+        source, cnt, docs = zip(*(x for held in by_term.values() for x in held)) if by_term else ((), (), ())
+        ends = np.cumsum([0, *map(len, by_term.values())])
+        sums = [pa.array(source, pa.string()), pa.array(cnt, pa.int64()), pa.array(docs, pa.int64())]
+        held = pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.StructArray.from_arrays(sums, ["source", "cnt", "docs"]))
         text = pa.array(term, pa.binary()).cast(pa.string())
-        cols = [pa.array(lang, pa.string()), pa.array(source, pa.string()), text]
-        cols += [pa.array(cnt, pa.int64()), pa.array(docs, pa.int64())]
-        return pa.RecordBatch.from_arrays(cols, ["lang", "source", "term", "cnt", "docs"])
+        return pa.RecordBatch.from_arrays([pa.array(lang, pa.string()), text, held], ["lang", "term", "held"])
 
     def work(batches):
         held, found = 0, defaultdict(lambda: (defaultdict(int), defaultdict(int)))
@@ -88,7 +97,7 @@ def weighted_counts(texts: DataFrame) -> DataFrame:
                     held = 0
         yield batch_of(found)
 
-    partial = map_rows(texts, schema, work)
+    partial = map_rows(texts, schema, work).repartition("lang", "term").select("lang", "term", F.inline("held"))
     return partial.groupBy("lang", "source", "term").agg(F.sum("cnt").alias("cnt"), F.sum("docs").alias("docs"))
 
 
