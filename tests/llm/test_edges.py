@@ -442,9 +442,65 @@ def test_urls_by_hand(spark):
     ])
 
 
+def test_a_vocabulary_from_a_table(spark):
+    """Weights of different soft terms add up, each counted once; one alone never rejects."""
+    rows = [("Alpha", 0), ("beta", 1), ("beta", 3), ("gamma", 2), ("delta", 5), ("x y", None), (None, 1), ("é", 1)]
+    terms = urlfilter.read_vocabulary(spark.createDataFrame(rows, "term string, weight int"), soft_limit=5)
+    urls = ["h://a/alpha", "h://a/alphabet", "h://a/delta-delta", "h://a/beta.gamma", "h://a/é.gamma.GAMMA", "h://a/é.gamma.beta", "h://a/x y", None]
+    pages = spark.createDataFrame(list(enumerate(urls)), "page_id long, url string")
+    got = {r.page_id: r for r in urlfilter.judge_urls(pages, (), terms).collect()}
+    assert [got[i].verdict for i in range(8)] == ["block", "allow", "allow", "block", "allow", "block", "block", "allow"]
+    assert [tuple(h) for h in got[4].hits] == [("gamma", 2, False), ("é", 1, False)] and got[0].hits[0].strict
+    with pytest.raises(ValueError, match="one character"):
+        urlfilter.Vocabulary([""], {}, 2)
+
+
+def test_a_vocabulary_has_a_bound(spark, monkeypatch):
+    monkeypatch.setattr(urlfilter, "MOST_TERMS", 3)
+    with pytest.raises(ValueError, match="more than 3"):
+        urlfilter.read_vocabulary(spark.range(4).selectExpr("cast(id as string) as term", "1 as weight"))
+
+
+def test_many_terms(spark):
+    """Thousands of terms, against a search for each."""
+    words = [f"w{i}" for i in range(3000)]
+    terms = urlfilter.read_vocabulary(spark.createDataFrame([(w, 1 + i % 2) for i, w in enumerate(words)], "term string, weight int"), 3)
+    rng = np.random.default_rng(8)
+    urls = ["h://x/" + "-".join(f"w{k}" for k in rng.integers(0, 6000, 4)) for _ in range(200)]
+    pages = spark.createDataFrame(list(enumerate(urls)), "page_id long, url string")
+    for r in urlfilter.judge_urls(pages, (), terms).collect():
+        here = {w for w in urls[r.page_id].split("/")[-1].split("-") if w in set(words)}
+        total = sum(1 + int(w[1:]) % 2 for w in here)
+        assert {h.term for h in r.hits} == here and (r.verdict == "block") == (len(here) > 1 and total >= 3)
+
+
 # tokens
 
 
+def test_folding_keeps_the_count(spark):
+    """Texts with one normal form have one count, whatever their case and white space; digests are shared."""
+    library = Tokenizer.from_file(TOKENIZER)
+    rng = np.random.default_rng(9)
+    parts = ["Abc", "aBC", "É", "ß", " ", "  ", "\n", "\t\r", "\x0b", "12", "3,", "'S", "don't", "<|", "<|startoftext|>", "<|ENDOFTEXT|>", "日本", "\u00a0", "ﬁ", "İ", "e\u0301"]
+    texts = ["".join(rng.choice(parts, rng.integers(0, 12))) for _ in range(4000)]
+    rows = frame(spark, list(enumerate(texts))).select("doc_id", tokencount.folded(F.col("text")).alias("form")).collect()
+    forms = {r.doc_id: r.form for r in rows}
+    count = lambda t: len(library.encode(t, add_special_tokens=False).ids)
+    assert all(count(forms[i]) == count(t) for i, t in enumerate(texts))
+    assert len(set(forms.values())) < len(set(texts))
+
+
+def test_cache_shares_normal_forms(spark, tmp_path, monkeypatch):
+    """A second table answered by what the first one stored: other case, other white space."""
+    rows = [(i, f"Some Words of  text {i}\n") for i in range(30)]
+    first = tokencount.count_tokens(frame(spark, rows), f"{tmp_path}/c", TOKENIZER, True, tokencount.folded)
+    want = {r.doc_id: r.n_tokens for r in first.collect()}
+    again = frame(spark, [(i, t.upper().replace(" ", "\t ")) for i, t in rows] + [(99, "new")])
+    got = {r.doc_id: r for r in tokencount.count_tokens(again, f"{tmp_path}/c", TOKENIZER, True, tokencount.folded).collect()}
+    assert {i: got[i].n_tokens for i in want} == want and got[0].n_bytes == len(rows[0][1]) + 5
+    assert tokencount.read_cache(spark, f"{tmp_path}/c").count() == 31
+
+
 def test_words_encode_as_whole_texts(documents):
     texts = [t for _, t, *_ in documents] + [
         "A<|endoftext|>b <|STARTOFTEXT|> <|startoftext|>", "e\u0301 \u0301x I'LL it's\u00a0\u2003y", "\u03a3\u03a3 \u0130 \ud55c \u1112\u1161",

@@ -78,7 +78,7 @@ def op10_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     # a cache of its own for each call, so that every call answers for the whole table
     cache = shared_path(spark, "token-counts")
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
-    found = tokencount.count_tokens(docs, cache, public_tokenizers.path(TOKENIZER), by_word=True)
+    found = tokencount.count_tokens(docs, cache, public_tokenizers.path(TOKENIZER), True, tokencount.folded)
     return found.withColumn("over_limit", F.col("n_tokens") > 2048)
 
 

@@ -6,6 +6,7 @@ tokenizer file, so that another tokenizer or version never meets these counts.
 
 from __future__ import annotations
 
+import string
 from collections.abc import Callable
 
 import numpy as np
@@ -25,6 +26,18 @@ def normalised(text: Column) -> Column:
     return F.coalesce(text.cast("string"), F.lit(""))
 
 
+def folded(text: Column) -> Column:
+    """A normal form for tokenizers that lower-case and drop white space, such as word_bpe_49k.
+
+    A-Z become a-z, and each run of ASCII white space one blank, none at the ends. A text that
+    might hold a special token stays as it is, as their strings are told apart by case.
+    """
+    plain = normalised(text)
+    low = F.translate(plain, string.ascii_uppercase, string.ascii_lowercase)
+    squeezed = F.trim(F.regexp_replace(low, r"[\x20\x09-\x0D]+", " "))
+    return F.when(F.contains(plain, F.lit("<|")), plain).otherwise(squeezed)
+
+
 def read_cache(spark: SparkSession, path: str) -> DataFrame:
     """All stored counts; empty before the first append."""
     try:
