@@ -469,6 +469,39 @@ def layers(spark, sf):
     })
 
 
+def _layer(layer: str, table: str, report: str) -> str:
+    return f"SELECT '{layer}' AS layer, '{table}' AS \"table\", position, rule, passed, failures FROM ({report})"
+
+
+_ABSENT = "SELECT 0::INTEGER AS position, 'table exists' AS rule, {} AS passed, NULL::BIGINT AS failures"
+
+
+@register(
+    "q17_q18_all_layers",
+    sql(" UNION ALL ".join([
+        _layer("bronze", "stocks", _report("bars", [
+            ("not_null(symbol)", _bad("symbol IS NULL")), ("not_null(timestamp)", _bad("date IS NULL")),
+            ("rows >= 1", "CAST(count(*) = 0 AS INTEGER)")])),
+        _layer("silver", "macro", _report("macro", [
+            ("not_null(series_id)", _bad("series_id IS NULL")), ("not_null(date)", _bad("date IS NULL")),
+            ("not_null(value)", _bad("value IS NULL")),
+            ("unique(series_id, date)", "count(*) - count(DISTINCT (series_id, date))")])),
+        _layer("silver", "crypto", _ABSENT.format("false")), _layer("silver", "news", _ABSENT.format("true")),
+        _layer("gold", "features", _report("bars", [
+            ("not_null(symbol)", _bad("symbol IS NULL")), ("min_value(close >= 100)", _bad("close < 100"))])),
+        _layer("gold", "features", "SELECT 2::INTEGER AS position, 'raises' AS rule, false AS passed, NULL::BIGINT AS failures"),
+    ]), "bars", "macro"),
+)
+def all_layers(spark, sf):
+    """Every layer in order: a rule that raises fails, a missing table fails unless it is optional."""
+    raises = quality.Rule("raises", "row", ("close",), F.raise_error(F.concat(F.lit("no rule for "), "symbol")).cast("boolean"))
+    bars = views.bars(spark, sf)
+    return quality.run_layers({
+        ("gold", "features"): bars, ("silver", "news"): None, ("bronze", "stocks"): bars.withColumnRenamed("date", "timestamp"),
+        ("silver", "crypto"): None, ("silver", "macro"): views.macro(spark, sf),
+    }, gold_rules=[quality.not_null("symbol"), quality.min_value("close", 100), raises])
+
+
 @register(
     "a14_target_nulls",
     sql("""SELECT count(*) AS n_rows, count(DISTINCT symbol) AS target_1d_nulls,

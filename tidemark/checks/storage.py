@@ -8,6 +8,7 @@ from __future__ import annotations
 
 import uuid
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import functions as F
 
 from tidemark.checks import views
@@ -52,6 +53,21 @@ def lake_round_trip(spark, sf):
     return narrow(lake.read("bars", "gold", essential=True))
 
 
+@register("k1_write_modes", sql(NARROW + "bars WHERE symbol::INTEGER % 3 = 0", "bars"))
+def write_modes(spark, sf):
+    """What is there stays: an ignored write changes nothing, and one that must not meet a table is refused."""
+    lake, rows = new_lake(spark), freeze(views.bars(spark, sf))
+    lake.write(rows.filter(F.col("symbol").cast("int") % 3 == 0), "bars", "gold", mode="error")
+    lake.write(rows, "bars", "gold", mode="ignore")
+    try:
+        lake.write(rows, "bars", "gold", mode="error")
+    except AnalysisException as refused:
+        if refused.getCondition() != "PATH_ALREADY_EXISTS":
+            raise
+        return narrow(lake.read("bars", "gold", essential=True))
+    raise AssertionError("written over a table")
+
+
 @register("s2_optional_table", sql("""SELECT symbol, count(*) AS n_days, 0::BIGINT AS n_coins,
     count(*) FILTER (WHERE asset_class = 'crypto') AS n_coins_later FROM prices GROUP BY symbol""", "prices"))
 def optional_table(spark, sf):

@@ -80,8 +80,8 @@ def write_report(assessed: DataFrame, path: str, n: int = 5) -> None:
     rows = report_lines(assessed, n).collect()
     day = rows[0]["date"] if rows else "no data"
     head = [
-        "| Ticker | Predicted 5D Return | Confidence Score | Risk Level | Top Contributors |",
-        "| :--- | :---: | :---: | :---: | :--- |",
+        "| Symbol | 5-day forecast | Confidence | Risk | Strongest inputs |",
+        "| :--- | ---: | ---: | :--- | :--- |",
     ]
     text = [f"# Recommendations for {day}", ""]
     titles = {"buy": "Top buy opportunities (long)", "sell": "Bottom sell opportunities (short)"}
