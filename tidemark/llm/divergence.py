@@ -16,7 +16,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import map_rows, store, values
+from tidemark.llm.common import map_rows, slices, store, values
 from tidemark.scale import broadcast_if_small
 
 UNIT = 1_000_000_000  # shares are counted in billionths
@@ -58,46 +58,42 @@ def folded(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
 
 
 def weighted_counts(texts: DataFrame) -> DataFrame:
-    """(lang, source, term, cnt, docs) of folded texts: occurrences and documents, copies counted.
+    """(lang, source, term, cnt, docs) of folded texts: occurrences and documents, copies counted."""
+    schema = "lang string, source string, term string, cnt long, docs long"
 
-    A task passes a term on once with all its sources, so that the shuffle carries each word once
-    per task, and the sums per source need no further one.
-    """
-    schema = "lang string, term string, held array<struct<source: string, cnt: long, docs: long>>"
-
-    def batch_of(found: dict) -> pa.RecordBatch:
-        by_term: dict = defaultdict(list)
+    def flushed_counts(found: dict):
         for (lang, source), (cnt, docs) in found.items():
-            for term, n in cnt.items():
-                by_term[lang, term].append((source, n, docs[term]))
-        lang, term = zip(*by_term) if by_term else ((), ())
-        source, cnt, docs = zip(*(x for held in by_term.values() for x in held)) if by_term else ((), (), ())
-        ends = np.cumsum([0, *map(len, by_term.values())])
-        sums = [pa.array(source, pa.string()), pa.array(cnt, pa.int64()), pa.array(docs, pa.int64())]
-        held = pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.StructArray.from_arrays(sums, ["source", "cnt", "docs"]))
-        text = pa.array(term, pa.binary()).cast(pa.string())
-        return pa.RecordBatch.from_arrays([pa.array(lang, pa.string()), text, held], ["lang", "term", "held"])
+            # both counters met their terms in the same order
+            term = pa.array(list(cnt), pa.binary()).cast(pa.string())
+            cols = [pa.repeat(pa.scalar(x, pa.string()), len(term)) for x in (lang, source)]
+            cols += [term, pa.array(list(cnt.values()), pa.int64()), pa.array(list(docs.values()), pa.int64())]
+            yield pa.RecordBatch.from_arrays(cols, ["lang", "source", "term", "cnt", "docs"])
 
     def work(batches):
-        held, found = 0, defaultdict(lambda: (defaultdict(int), defaultdict(int)))
-        for batch in batches:
+        held, found = 0, defaultdict(lambda: (Counter(), Counter()))
+        for batch in slices(batches):
             texts_, langs = values(batch.column("text").cast(pa.binary())), values(batch.column("lang"))
             for lang, text, copies in zip(langs, texts_, values(batch.column("copies"))):
-                once = Counter(terms(text))
+                words = terms(text)
+                once = None if len(copies) == 1 and copies[0]["n"] == 1 else Counter(words)
                 for copy in copies:
                     cnt, docs = found[lang, copy["source"]]
                     n, before = copy["n"], len(cnt)
-                    for term, k in once.items():
-                        cnt[term] += n * k
-                        docs[term] += n
+                    if once is None:
+                        cnt.update(words)
+                        docs.update(dict.fromkeys(words).keys())
+                    else:
+                        for term, k in once.items():
+                            cnt[term] += n * k
+                            docs[term] += n
                     held += len(cnt) - before
                 if held >= HELD:
-                    yield batch_of(found)
+                    yield from flushed_counts(found)
                     found.clear()
                     held = 0
-        yield batch_of(found)
+        yield from flushed_counts(found)
 
-    partial = map_rows(texts, schema, work).repartition("lang", "term").select("lang", "term", F.inline("held"))
+    partial = map_rows(texts, schema, work)
     return partial.groupBy("lang", "source", "term").agg(F.sum("cnt").alias("cnt"), F.sum("docs").alias("docs"))
 
 
