@@ -131,6 +131,7 @@ def columns_first(df: DataFrame, first: Sequence[str]) -> DataFrame:
 def lookup(
     df: DataFrame, table: DataFrame, key: str, defaults: Mapping[str, Column]
 ) -> DataFrame:
-    """Left join of a lookup table with a default for keys it does not hold."""
-    joined = df.drop(*defaults).join(broadcast_if_small(table), key, "left")
+    """Left join of a lookup table with a default for keys it does not hold. Of the table only the
+    key and the columns with a default are taken."""
+    joined = df.drop(*defaults).join(broadcast_if_small(table.select(key, *defaults)), key, "left")
     return joined.withColumns({c: F.coalesce(F.col(c), d) for c, d in defaults.items()})
