@@ -38,11 +38,18 @@ def prepared(gold):
     return models.preprocess(gold[0], layout=gold[1])
 
 
+@pytest.fixture
+def few_trees(monkeypatch):
+    """The queries with few trees: test_trees.py compares trees, and each one costs a pass per level."""
+    monkeypatch.setattr(models, "fit_boosted", partial(models.fit_boosted, rounds=5))
+    monkeypatch.setattr(models, "fit_forest", partial(models.fit_forest, count=10))
+
+
 def values(df, column="predicted_return"):
     return {(r.symbol, r.date): r[column] for r in df.collect()}
 
 
-def test_forest_query(spark, sf, prepared):
+def test_forest_query(spark, sf, prepared, few_trees):
     """The held-out rows, each with a mean of leaf means of the training rows."""
     got = values(QUERIES["m6_random_forest"](spark, sf))
     low, high = prepared.train.selectExpr(f"min({models.TARGET})", f"max({models.TARGET})").first()
@@ -50,7 +57,7 @@ def test_forest_query(spark, sf, prepared):
     assert all(low - 1e-6 <= p <= high + 1e-6 for p in got.values()) and len(set(got.values())) > len(got) / 10
 
 
-def test_ensemble_is_half_ridge_half_trees(spark, sf, prepared):
+def test_ensemble_is_half_ridge_half_trees(spark, sf, prepared, few_trees):
     out = freeze(QUERIES["m7_m8_boosted_ensemble"](spark, sf))
     train = freeze(prepared.train)
     cut = chronology(train, lambda n: [int(n * 0.85)]).cuts[0]
@@ -60,7 +67,7 @@ def test_ensemble_is_half_ridge_half_trees(spark, sf, prepared):
     assert values(out, "by_leaf") != level
 
 
-def test_board_of_fitted_models(spark, sf, prepared):
+def test_board_of_fitted_models(spark, sf, prepared, few_trees):
     """All models are there, best first; the ridge's row equals its own fit scored by itself."""
     rows = QUERIES["m13_fitted_board"](spark, sf).collect()
     assert {r.name for r in rows} == {"Ridge", "RandomForest", "GradientBoosted", "LeafwiseBoosted"}
@@ -74,10 +81,10 @@ def test_board_of_fitted_models(spark, sf, prepared):
     assert [ridge[c] for c in metrics.METRICS] == pytest.approx([one[c] for c in metrics.METRICS], rel=1e-6)
 
 
-def test_model_backtest(spark, sf, gold):
+def test_model_backtest(spark, sf, gold, few_trees):
     """A curve over every day of the held-out rows; predictions are the mean of the fits given."""
     rows = QUERIES["c13_model_backtest"](spark, sf).orderBy("date").collect()
-    few = partial(models.fit_boosted, rounds=3)
+    few = models.fit_boosted
     parts = [freeze(training.out_of_sample(gold[0], layout=gold[1], fits=fits)) for fits in ((models.fit_ridge,), (few,), (models.fit_ridge, few))]
     line, trees, both = map(values, parts)
     assert all(both[k] == pytest.approx((line[k] + trees[k]) / 2, rel=1e-9, abs=1e-12) for k in both)
