@@ -37,11 +37,16 @@ INPUTS = ["close", "volume", "sma_20", "return_1d", "return_20d", "volatility_20
 KEEP = ["symbol", "date", "target_5d_return", *INPUTS]
 
 
-def features(spark, sf):
-    """Labelled feature rows, kept for the several passes of the operators below."""
+def feature_rows(spark, sf):
+    """Labelled feature rows for one pass."""
     layout = views.price_layout(spark, sf)
-    out = technical_indicators(views.bars(spark, sf), "date", layout).select(*KEEP)
-    return freeze(out), layout
+    return technical_indicators(views.bars(spark, sf), "date", layout).select(*KEEP), layout
+
+
+def features(spark, sf):
+    """The same, kept for the several passes of the operators below."""
+    rows, layout = feature_rows(spark, sf)
+    return freeze(rows), layout
 
 
 FEATURES_SQL = _full_windows(
@@ -90,10 +95,9 @@ def folds(spark, sf):
 # ---------------------------------------------------------------------------
 
 
-def predictions(spark, sf):
+def predictions(spark, sf, rows=features):
     """Model-free predictions: the return of the last 20 rows."""
-    rows, _ = features(spark, sf)
-    return rows.filter(F.col("target_5d_return").isNotNull() & F.col("return_20d").isNotNull())
+    return rows(spark, sf)[0].filter(F.col("target_5d_return").isNotNull() & F.col("return_20d").isNotNull())
 
 
 def _metric_sql(p: str) -> str:
@@ -147,7 +151,7 @@ RUNS = ("return_1d", "return_20d", "volatility_20d")
         for p in RUNS), "prices"),
 )
 def board(spark, sf):
-    found = freeze(metrics.evaluate_all(predictions(spark, sf), "target_5d_return", RUNS))
+    found = freeze(metrics.evaluate_all(predictions(spark, sf, feature_rows), "target_5d_return", RUNS))
     runs = found.select("run_uuid", F.col("run_uuid").alias("name"))
     return rounded(metrics.leaderboard(runs, metrics.as_entries(found)), 6)
 
