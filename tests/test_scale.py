@@ -21,6 +21,17 @@ def plan(df):
     return df._jdf.queryExecution().executedPlan().toString()
 
 
+def test_recommendations_read_the_gold_rows_once(spark, sf, monkeypatch):
+    """No stored gold table, and the newest day comes from the rows of the model."""
+    stored, sliced = [], []
+    monkeypatch.setattr(learning, "freeze", lambda df: stored.append(df.columns) or scale.freeze(df))
+    newest = training.latest_slice
+    monkeypatch.setattr(training, "latest_slice", lambda df: sliced.append(plan(df)) or newest(df))
+    rows = learning.model_recommendations(spark, sf).collect()
+    assert rows and all("sma_200" not in columns for columns in stored)
+    assert sliced and all("Window" not in p for p in sliced)
+
+
 @pytest.mark.parametrize("piece", [7, 40, 10_000])
 def test_ranks_by_intervals(spark, monkeypatch, piece):
     """Ties, one value in most rows, nulls of one model, NaN and -0.0, in many intervals or one."""
