@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.operators.series import Layout, measure_layout
+from tidemark.scale import in_tasks
 from tidemark.sources.reference_data import MACRO_SERIES
 
 
@@ -53,16 +54,17 @@ def trades(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def bars(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """One OHLCV bar per supplier and ship day; partial aggregation before the shuffle.
+    """One OHLCV bar per supplier and ship day.
 
     The order inside a day is one number, so that Spark aggregates by hash; a struct would
-    make it sort all trades first."""
+    make it sort all trades first. Large tables are shuffled as trades: the hash table of a task would else grow
+    with its part of the file, and again with what it reads of the shuffle."""
     when = F.col("l_orderkey").cast("decimal(13,0)") * 10 + F.col("l_linenumber")
     when = when * F.lit(10**11).cast("decimal(12,0)") + F.col("l_partkey").cast("decimal(11,0)")
     when = when * F.lit(10**10).cast("decimal(11,0)") + F.floor(F.col("price") * 100)
+    rows = trades(spark, sf_dir).withColumn("when", when.cast("decimal(38,0)"))
     return (
-        trades(spark, sf_dir)
-        .withColumn("when", when.cast("decimal(38,0)"))
+        in_tasks(rows, table(spark, sf_dir, "lineitem").count(), "l_suppkey", "date")
         .groupBy("l_suppkey", "date")
         .agg(
             F.min_by("price", "when").alias("open"),
