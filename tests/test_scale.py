@@ -61,3 +61,20 @@ def test_board_stores_rows_once(spark, monkeypatch):
         F.col("id").alias("date"), F.lit("s").alias("symbol"), F.rand(1).alias("t"), F.rand(2).alias("p"), F.rand(3).alias("q"))
     assert metrics.evaluate_all(df, "t", ["p", "q"], top_n=4).count() == 2
     assert len(stored) == 1 and {"p", "q"} <= set(stored[0])
+
+
+def test_tasks_of_large_tables_hold_a_bounded_number_of_rows(spark, sf, monkeypatch):
+    """More rows make more tasks, whatever few bytes they have; the rows are the same."""
+    few = sorted(views.bars(spark, sf).collect())
+    monkeypatch.setattr(scale, "TASK_ROWS", 500)
+    rows = views.bars(spark, sf)
+    assert rows.rdd.getNumPartitions() > 4 and sorted(rows.collect()) == few
+    prices = rows.localCheckpoint()
+    out = mart_technicals(prices, Layout(hot=False, rows=5_000))
+    shuffles = re.findall(r"Exchange hashpartitioning\((\w+)#\d+, (\d+)\)", plan(out))
+    assert shuffles == [("symbol", "10")]
+    by_spark = mart_technicals(prices, Layout(hot=False)).select("symbol", "date", "sma_20")
+    assert sorted(out.select("symbol", "date", "sma_20").collect()) == sorted(by_spark.collect())
+    twice = market.mart_sector_perf(spark, sf).collect()
+    monkeypatch.setattr(scale, "TASK_ROWS", 500_000)
+    assert sorted(twice) == sorted(market.mart_sector_perf(spark, sf).collect())

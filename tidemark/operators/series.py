@@ -14,7 +14,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tidemark.scale import broadcast_if_small, freeze, global_position
+from tidemark.scale import broadcast_if_small, freeze, global_position, in_tasks
 
 MAX_SERIES_ROWS = 1_000_000
 SEGMENT_ROWS = 65_536
@@ -29,18 +29,19 @@ _SEGMENT, _CORE, _POS = "_segment", "_core", "_pos"
 class Layout:
     """How a series table is split; ``hot`` means some key exceeds one task's share.
 
-    ``longest`` bounds the rows of one series, where it is known."""
+    ``longest`` bounds the rows of one series, ``rows`` those of the table, where they are known."""
 
     hot: bool
     segment_rows: int = SEGMENT_ROWS
     longest: int | None = None
+    rows: int | None = None
 
 
 def measure_layout(df: DataFrame, key: str = "symbol", max_rows: int = MAX_SERIES_ROWS) -> Layout:
     """One narrow count per key decides the layout. Any table with at least as many rows per
     key as the series will do, e.g. the raw trades behind a table of bars."""
-    largest = df.groupBy(key).count().agg(F.max("count")).first()[0] or 0
-    return Layout(hot=largest > max_rows, longest=largest)
+    largest, rows = df.groupBy(key).count().agg(F.max("count"), F.sum("count")).first()
+    return Layout(hot=(largest or 0) > max_rows, longest=largest or 0, rows=rows or 0)
 
 
 def over_series(
@@ -59,7 +60,7 @@ def over_series(
     """
     layout = layout or measure_layout(df, key)
     if not layout.hot:
-        return compute(df, [key], list(order))
+        return compute(in_tasks(df, layout.rows or 0, key), [key], list(order))
     cut = segmented(df, key=key, order=order, back=back, ahead=ahead, rows=layout.segment_rows)
     out = compute(cut, [_SEGMENT, key], list(order))
     return out.filter(F.col(_CORE)).drop(_SEGMENT, _CORE)
