@@ -21,6 +21,14 @@ def plan(df):
     return df._jdf.queryExecution().executedPlan().toString()
 
 
+def test_market_pages_store_no_mart(spark, sf, monkeypatch):
+    stored = []
+    monkeypatch.setattr(portfolio, "freeze", lambda df: stored.append(df.columns) or df)
+    for page in (portfolio.snapshot, portfolio.sector_page, portfolio.movers):
+        assert page(spark, sf).collect()
+    assert all("sma_200" not in columns for columns in stored)
+
+
 def test_recommendations_read_the_gold_rows_once(spark, sf, monkeypatch):
     """No stored gold table, and the newest day comes from the rows of the model."""
     stored, sliced = [], []

@@ -396,8 +396,8 @@ NAMES = {"1": "One Inc.", "2": "Two Inc.", "5": "Five Coin"}
 
 
 def market(spark, sf):
-    rows = freeze(mart_from(spark, sf))
-    return overview.market_slice(rows, pairs(spark, NAMES, "symbol", "asset_name"))
+    """The newest day of the mart. Both passes over it need few of its columns, so it is not stored."""
+    return overview.market_slice(mart_from(spark, sf), pairs(spark, NAMES, "symbol", "asset_name"))
 
 
 _MARKET = _full_windows("""
@@ -428,7 +428,7 @@ def snapshot(spark, sf):
         "prices"),
 )
 def movers(spark, sf):
-    rows = freeze(market(spark, sf))
+    rows = freeze(market(spark, sf).select("symbol", "asset_name", "close", "return_1d", "return_1d_pct"))
     up = overview.movers(rows, True).withColumn("side", F.lit("up"))
     down = overview.movers(rows, False).withColumn("side", F.lit("down"))
     out = up.unionByName(down)
