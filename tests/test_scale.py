@@ -86,3 +86,22 @@ def test_tasks_of_large_tables_hold_a_bounded_number_of_rows(spark, sf, monkeypa
     twice = market.mart_sector_perf(spark, sf).collect()
     monkeypatch.setattr(scale, "TASK_ROWS", 500_000)
     assert sorted(twice) == sorted(market.mart_sector_perf(spark, sf).collect())
+
+
+def test_windows_of_texts_hold_cut_texts_only(spark):
+    """200 MB of long texts, of which a window of the model keeps a few characters each."""
+    batch = pa.RecordBatch.from_arrays([pa.array(["x" * 100_000] * 2_000)], ["text"])
+    tracemalloc.start()
+    seen = sum(len(texts) for _, texts in text._windows(iter([batch]), 0, lambda t: (t[:10], 10)))
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert seen == 2_000 and peak < 20_000_000
+
+
+def test_scored_rows_keep_their_columns_and_order(spark):
+    df = spark.createDataFrame([(i, None if i % 7 == 0 else "w " * i, [i]) for i in range(300)], "k long, body string, l array<int>").coalesce(1)
+    scorer = lambda: lambda texts: [{"Positive": float(len(t)), "Negative": float("nan") if t == "w " else 0.0} for t in texts]
+    rows = text.with_model_scores(df, scorer, "body").collect()
+    assert [r.k for r in rows] == list(range(300)) and rows[9].l == [9]
+    assert [r.sentiment_pos for r in rows] == [0.0 if i % 7 == 0 else 2.0 * i for i in range(300)]
+    assert rows[1].sentiment_net is None and rows[2].sentiment_neg == 0

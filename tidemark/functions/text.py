@@ -177,22 +177,26 @@ Scorer = Callable[[list[str]], list[Mapping[str, float]]]
 Tokens = Callable[[str], Sequence[tuple[int, int]]]
 WINDOW = 4096  # texts that are sorted by length before they are scored
 WINDOW_CHARS = 16 << 20
+SLICE = 64  # rows of an Arrow batch whose whole texts are Python objects at a time
 
 
-def _windows(frames: Iterator, text: str) -> Iterator[list]:
-    """Frames in runs of about WINDOW rows, whatever the sizes they come in."""
-    held, rows, chars = [], 0, 0
-    for frame in frames:
-        for at in range(0, len(frame), WINDOW):
-            part = frame.iloc[at : at + WINDOW]
+def _windows(batches: Iterator, at: int, cut: Callable[[str], tuple[str, int]]) -> Iterator[tuple]:
+    """Batches in runs of about WINDOW rows, whatever the sizes they come in, with what ``cut`` makes of each
+    text of column ``at``: rows stay in Arrow, and only a few texts are whole Python objects at a time."""
+    held, texts, chars = [], [], 0
+    for batch in batches:
+        for start in range(0, batch.num_rows, SLICE):
+            part = batch.slice(start, SLICE)
             held.append(part)
-            rows += len(part)
-            chars += sum(len(t) for t in part[text] if isinstance(t, str))
-            if rows >= WINDOW or chars >= WINDOW_CHARS:
-                yield held
-                held, rows, chars = [], 0, 0
+            for t in part.column(at).to_pylist():
+                t = t if isinstance(t, str) else ""
+                texts.append(cut(t))
+                chars += len(t)
+            if len(texts) >= WINDOW or chars >= WINDOW_CHARS:
+                yield held, texts
+                held, texts, chars = [], [], 0
     if held:
-        yield held
+        yield held, texts
 
 
 def with_model_scores(
@@ -215,7 +219,7 @@ def with_model_scores(
     lists by default in the news plan).
     """
     schema = T.StructType(
-        [f for f in df.schema.fields]
+        [f for f in df.schema.fields if f.name not in SENTIMENT_COLUMNS]
         + [T.StructField(c, T.DoubleType()) for c in SENTIMENT_COLUMNS]
     )
     swallow = fallback is not None
@@ -227,38 +231,42 @@ def with_model_scores(
         found = [(r.get("positive", 0.0), r.get("negative", 0.0), r.get("neutral", 0.0)) for r in results]
         return [(pos, neg, neu, pos - neg) for pos, neg, neu in found]
 
-    def score(frames: Iterator) -> Iterator:
+    at = df.columns.index(text)
+    kept = [i for i, c in enumerate(df.columns) if c not in SENTIMENT_COLUMNS]
+
+    def score(batches: Iterator) -> Iterator:
+        import pyarrow as pa
+
         scorer, tokens = None, load_tokens() if load_tokens else None
-        for held in _windows(frames, text):
-            texts, sizes = [], []
-            for t in (t for frame in held for t in frame[text]):
-                t = t if isinstance(t, str) else ""
-                spans = tokens(t) if tokens else ()
-                if len(spans) > max_tokens:
-                    t = t[: spans[max_tokens - 1][1]]
-                texts.append(t)
-                sizes.append(min(len(spans), max_tokens) if tokens else len(t))
-            order = sorted(range(len(texts)), key=sizes.__getitem__)
+
+        def cut(t: str) -> tuple[str, int]:
+            if not tokens:
+                return t, len(t)
+            spans = tokens(t)
+            return t[: spans[max_tokens - 1][1]] if len(spans) > max_tokens else t, min(len(spans), max_tokens)
+
+        for held, texts in _windows(batches, at, cut):
+            order = sorted(range(len(texts)), key=lambda i: texts[i][1])
             found: list[tuple] = [(None, None, None, None)] * len(texts)
             for start in range(0, len(order), batch_size):
                 rows = order[start : start + batch_size]
                 try:
                     scorer = scorer or load_scorer()
-                    for row, result in zip(rows, scored_part(scorer, [texts[i] for i in rows])):
+                    for row, result in zip(rows, scored_part(scorer, [texts[i][0] for i in rows])):
                         found[row] = result
                 except Exception:
                     if not swallow:
                         raise
-            at = 0
-            for frame in held:
-                out, own = frame.copy(), found[at : at + len(frame)]
-                at += len(frame)
-                for i, name in enumerate(SENTIMENT_COLUMNS):
-                    out[name] = [row[i] for row in own]
-                    out[name] = out[name].astype("float64")
-                yield out
-
-    scored = df.mapInPandas(score, schema)
+            done = 0
+            for part in held:
+                own = found[done : done + part.num_rows]
+                done += part.num_rows
+                scores = [pa.array([row[i] for row in own], pa.float64(), from_pandas=True) for i in range(4)]
+                yield pa.RecordBatch.from_arrays(
+                    [*(part.column(i) for i in kept), *scores], [*(part.schema.names[i] for i in kept), *SENTIMENT_COLUMNS]
+                )
+
+    scored = df.mapInArrow(score, schema)
     if fallback is None:
         return scored
     plain = fallback(scored.withColumnsRenamed({c: f"_m_{c}" for c in SENTIMENT_COLUMNS}))
