@@ -105,3 +105,28 @@ def test_scored_rows_keep_their_columns_and_order(spark):
     assert [r.k for r in rows] == list(range(300)) and rows[9].l == [9]
     assert [r.sentiment_pos for r in rows] == [0.0 if i % 7 == 0 else 2.0 * i for i in range(300)]
     assert rows[1].sentiment_net is None and rows[2].sentiment_neg == 0
+
+
+def test_gold_steps_are_small_enough_to_be_compiled(spark, sf):
+    """The JVM interprets methods of over 8,000 bytes; and no indicator takes the strict power."""
+    df = market.gold_features(spark, sf)
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        steps = df.select("*")._jdf.queryExecution().debug().codegenToSeq()
+        text = plan(df.select("*"))
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", "true")
+    sizes = [steps.apply(i)._3().maxMethodCodeSize() for i in range(steps.size())]
+    assert sizes and max(sizes) < 8_000
+    assert "POWER(" not in text and text.count("Window [") <= 7
+
+
+def test_wide_tables_are_rounded_like_narrow_ones(spark, monkeypatch):
+    nasty = [1.2345675, None, -0.0, float("nan"), -2.5e-7, 1e12, 0.0000005]
+    df = spark.createDataFrame([(i, *[None if x is None else x * (k + 1) for k in range(5)]) for i, x in enumerate(nasty)], "id int, a double, b double, c double, d double, e double").drop("id")
+    df = df.withColumn("s", F.lit("x"))
+    rules = {"a": 2, "c": 4, "d": 2}
+    want = [str(r) for r in views.rounded(df, rules).collect()]
+    monkeypatch.setattr(views, "WIDE", 3)
+    wide = views.rounded(df, rules)
+    assert wide.columns == df.columns and [str(r) for r in wide.collect()] == want

@@ -248,6 +248,10 @@ def sql(body: str, *views: str, recursive: bool = False) -> str:
     return f"{word}{heads} {body}" if heads else body
 
 
+# with more doubles than this some are rounded as an array
+WIDE = 30
+
+
 def nudge(digits: int) -> float:
     """Less than the last digit, more than rounding noise: moves exact halves off the edge, which
     the engines would otherwise round by different rules."""
@@ -268,8 +272,18 @@ def rounded_col(c: str | Column, digits: int = 6) -> Column:
 
 
 def rounded(df: DataFrame, digits: int | dict[str, int] = 6) -> DataFrame:
-    """Round doubles, as the two engines add in different orders."""
+    """Round doubles, as the two engines add in different orders.
+
+    Of many columns a few are rounded as an array, since Spark compiles a step with a lambda as many small methods.
+    All in one, with the joins before, would be a method of over 8,000 bytes, which the JVM only interprets."""
     rules = digits if isinstance(digits, dict) else {}
     default = digits if isinstance(digits, int) else 6
-    doubles = [f.name for f in df.schema.fields if f.dataType.typeName() == "double"]
-    return df.withColumns({c: rounded_col(c, rules.get(c, default)) for c in doubles})
+    doubles = {f.name: rules.get(f.name, default) for f in df.schema.fields if f.dataType.typeName() == "double"}
+    plain = {c: rounded_col(c, n) for c, n in doubles.items()}
+    if len(doubles) <= WIDE:
+        return df.withColumns(plain)
+    n = next(iter(doubles.values()))
+    few = [c for c in doubles if doubles[c] == n][:2]
+    array = F.transform(F.array(*few), lambda x: rounded_col(x, n)).alias("_few")
+    rows = df.select(*[plain.get(c, F.col(c)).alias(c) for c in df.columns if c not in few], array)
+    return rows.select(*[F.get("_few", F.lit(few.index(c))).alias(c) if c in few else c for c in df.columns])

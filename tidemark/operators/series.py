@@ -132,7 +132,8 @@ def chained_deviation(mean: str, variance: str, step: int, n: int, w) -> Column:
     means = [_earlier(mean, k, w) for k in range(0, n, step)]
     spreads = [_earlier(variance, k, w) * float(step - 1) for k in range(0, n, step)]
     center = sum(means[1:], means[0]) / float(len(means))
-    between = [F.pow(m - center, 2) * float(step) for m in means]
+    # a product, as the built-in power runs in strict software arithmetic
+    between = [(m - center) * (m - center) * float(step) for m in means]
     total = sum(spreads[1:], spreads[0]) + sum(between[1:], between[0])
     return F.sqrt(total / float(n - 1))
 
@@ -197,11 +198,13 @@ def ewm_means(
     parts: Sequence[str],
     order: Sequence[str],
     blocks: Sequence[str] = (),
+    known: dict[str, str] | None = None,
 ) -> DataFrame:
     """``e_t = (1-a) e_{t-1} + a x_t`` seeded with the first non-null value.
 
     ``specs`` maps an output to (input column, alpha); ``blocks`` comes from ``add_blocks``. Inputs may be
-    null only before their first value. Inside a block the recurrence is a running sum of
+    null only before their first value. ``known`` maps an input to a column that is null where the row before has
+    no value of it, which saves a pass. Inside a block the recurrence is a running sum of
     ``x_i q^-i``; the ends of earlier blocks sit at fixed distances and are added by ``lag``.
     """
     inside = Window.partitionBy(*parts, *blocks).orderBy(*order)
@@ -210,10 +213,12 @@ def ewm_means(
     along = Window.partitionBy(*parts).orderBy(*blocks, *order)
     slot = F.col("_slot")
 
-    before = {f"_before_{x}": F.lag(x).over(along) for x, _ in specs.values()}
+    known = known or {}
+    before = {f"_before_{x}": F.lag(x).over(along) for x, _ in specs.values() if x not in known}
     tails, carried, results = {}, {}, {}
     for out, (x, alpha) in specs.items():
-        weight = F.when(F.col(f"_before_{x}").isNull(), F.lit(1.0)).otherwise(F.lit(alpha))
+        last = F.col(known.get(x, f"_before_{x}"))
+        weight = F.when(last.isNull(), F.lit(1.0)).otherwise(F.lit(alpha))
         term = F.coalesce(weight * F.col(x) * decay_power(alpha, -1, slot), F.lit(0.0))
         tails[f"_local_{out}"] = F.sum(term).over(running) * decay_power(alpha, 1, slot)
         if not blocks:

@@ -86,7 +86,11 @@ def with_smoothed(
     c = F.col("close")
     rows, blocks = add_blocks(rows, parts, order, layout)
     order = [*blocks, *order]
-    rows = rows.withColumn("_delta", c - F.lag(c, 1).over(ordered(parts, order)))
+    w = ordered(parts, order)
+    last, earlier = F.lag(c, 1).over(w), F.lag(c, 2).over(w)
+    rows = rows.withColumns({"_last": last, "_delta": c - last, "_last_delta": last - earlier})
+    # every smoothed value is there where its close or change is
+    known = {"close": "_last", "macd": "_last", "_gain": "_last_delta", "_loss": "_last_delta"}
     rows = rows.withColumns(
         {
             "_gain": F.when(F.col("_delta").isNotNull(), F.greatest("_delta", F.lit(0.0))),
@@ -104,14 +108,15 @@ def with_smoothed(
         parts,
         order[len(blocks) :],
         blocks,
+        known,
     )
     rows = rows.withColumn("macd", F.col("_ema_12") - F.col("_ema_26")).withColumn(
         "rsi_14", rsi("_gain_mean", "_loss_mean")
     )
-    rows = ewm_means(rows, {"macd_signal": ("macd", 2 / 10)}, parts, order[len(blocks) :], blocks)
+    rows = ewm_means(rows, {"macd_signal": ("macd", 2 / 10)}, parts, order[len(blocks) :], blocks, known)
     rows = rows.withColumn("macd_hist", F.col("macd") - F.col("macd_signal"))
     return rows.drop(
-        "_delta", "_gain", "_loss", "_ema_12", "_ema_26", "_gain_mean", "_loss_mean", "_slot"
+        "_last", "_delta", "_last_delta", "_gain", "_loss", "_ema_12", "_ema_26", "_gain_mean", "_loss_mean", "_slot"
     ), order
 
 
@@ -159,6 +164,21 @@ def technical_indicators(
                 - F.coalesce(F.lag("_seen", YEAR_ROWS).over(w), F.lit(0)),
             }
         )
+        # what needs no more rows comes before the last windows, and so into their input: the code Spark
+        # generates for one step must stay below 8,000 bytes, beyond which the JVM only interprets it
+        mid, std = F.col("_sum_20") / 20.0, F.col("_std")
+        rows = rows.withColumns(
+            {
+                "sma_20": mid,
+                "sma_50": F.col("_sum_50") / 50.0,
+                "volatility_20d": F.sqrt("_var_r"),
+                "bb_upper": mid + 2 * std,
+                "bb_lower": mid - 2 * std,
+                "bb_width": guarded_ratio((mid + 2 * std) - (mid - 2 * std), mid),
+                "volume_ratio": guarded_ratio(v, F.col("_volume_20") / 20.0),
+                "momentum_acceleration": F.col("return_5d") - F.col("return_20d"),
+            }
+        )
         year_known = F.col("_in_year") >= 20
         rows = rows.withColumns(
             {
@@ -168,20 +188,11 @@ def technical_indicators(
                 "_std_r60": chained_deviation("_mean_r", "_var_r", 20, 60, w),
             }
         )
-        mid, std = F.col("_sum_20") / 20.0, F.col("_std")
         low, high = F.col("_low"), F.col("_high")
         rows = rows.withColumns(
             {
-                "sma_20": mid,
-                "sma_50": F.col("_sum_50") / 50.0,
-                "volatility_20d": F.sqrt("_var_r"),
                 "vol_regime_ratio": guarded_ratio("_std_r5", "_std_r60"),
-                "bb_upper": mid + 2 * std,
-                "bb_lower": mid - 2 * std,
-                "bb_width": guarded_ratio((mid + 2 * std) - (mid - 2 * std), mid),
-                "volume_ratio": guarded_ratio(v, F.col("_volume_20") / 20.0),
                 "price_position_52w": F.when(year_known, guarded_ratio(c - low, high - low)),
-                "momentum_acceleration": F.col("return_5d") - F.col("return_20d"),
             }
         )
         return rows.drop(*[x for x in rows.columns if x in _SCRATCH])
