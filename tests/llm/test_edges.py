@@ -17,6 +17,7 @@ from tidemark.llm import (
     crf, decontaminate, langid, linededup, mixing, simhash, substring, tokencount, tokenfile, urlfilter,
 )
 from tidemark.llm.common import components, keyed
+from tidemark.llm import tokenizer
 from tidemark.llm.tokenizer import Encoder, load
 
 TOKENIZER = public_tokenizers.path("word_bpe_49k.json")
@@ -598,3 +599,18 @@ def test_taken_names_are_refused(odd, items):
 
 def test_digest_of_kept_text():
     assert hashlib.sha256(linededup.kept_text(b"a\nb\nc", zlib.compress(bytes([0b10100000])), 3)).hexdigest() == hashlib.sha256(b"a\nc").hexdigest()
+
+
+def test_words_are_known_to_the_next_task_and_without_their_marks():
+    held = load(TOKENIZER)
+    first = tokenizer.encoder(*held, True)
+    assert tokenizer.encoder(*load(TOKENIZER), True) is first
+    texts = ["Word wORD, w\u00f6rt! W\u00f6rt? a.. b.c, d) 3, '\u00e9; \u00d7, x\u0301. e\u0301! <|endoftext|>. <|EndOfText|>, A. ",
+             "word, w\u00f6rt: \u00f7. \u0100, \u00df; end.", "N\u00c3\u00b7, mid.dle\x85, tab.\tline;\n"]
+    library = Tokenizer.from_file(str(TOKENIZER))
+    want = [e.ids for e in library.encode_batch(texts, add_special_tokens=False)]
+    coder = Encoder(*held, by_word=True)
+    assert [np.frombuffer(x, "<u4").tolist() for x in coder.encode([t.encode() for t in texts])] == want
+    coder = Encoder(*held, by_word=True)
+    coder.encode([b"Thing thing, THING. thing"])
+    assert set(coder.words) == {b"thing", b",", b"."}

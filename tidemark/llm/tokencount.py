@@ -16,7 +16,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.llm.common import map_rows, store, values
-from tidemark.llm.tokenizer import Encoder, load, pieces, version
+from tidemark.llm.tokenizer import encoder, load, pieces, version
 
 SCHEMA = "digest binary, n_tokens long, tokenizer string"
 
@@ -82,11 +82,11 @@ def count_tokens(
     misses = distinct.join(stored().select("digest"), "digest", "left_anti")
 
     def work(batches):
-        encoder = Encoder(*held.value, by_word=by_word)
+        coder = encoder(*held.value, by_word)
         for batch in batches:
             texts, counts = values(batch.column("text")), []
             for cut in pieces(texts):
-                counts += [len(x) // 4 for x in encoder.encode(texts[cut])]
+                counts += [len(x) // 4 for x in coder.encode(texts[cut])]
             yield pa.RecordBatch.from_arrays(
                 [batch.column("digest"), pa.array(np.array(counts, np.int64))], ["digest", "n_tokens"])
 

@@ -15,7 +15,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tidemark.llm.common import keyed, map_rows, slices, values
-from tidemark.llm.tokenizer import Encoder, load, pieces
+from tidemark.llm.tokenizer import encoder, load, pieces
 
 SCHEMA = "doc_id long, part int, offset long, n_tokens long, ids array<int>"
 
@@ -37,11 +37,11 @@ def write_tokens(
     last = np.array([] if end_id is None else [end_id], "<u4").tobytes()
 
     def work(batches):
-        encoder, offset = Encoder(*held.value, by_word=by_word), 0
+        coder, offset = encoder(*held.value, by_word), 0
         for batch in slices(batches):
             texts = values(batch.column("text"))
             for cut in pieces(texts):
-                ids = [x + last for x in encoder.encode(texts[cut])]
+                ids = [x + last for x in coder.encode(texts[cut])]
                 n = np.array([len(x) // 4 for x in ids], np.int64)
                 ends = np.cumsum(n)
                 flat = pa.array(np.frombuffer(b"".join(ids), "<u4").astype(np.int32))

@@ -5,14 +5,17 @@ from __future__ import annotations
 import hashlib
 import re
 from array import array
+from functools import lru_cache
 from pathlib import Path
 from unicodedata import is_normalized
 
-KNOWN = 350_000  # words of a generation; a worker remembers two
+KNOWN = 300_000  # words of a generation; a worker remembers two, about 120 MB
 LONGEST = 64  # longer words are not remembered
 TAIL = b".,!?;:"
 # printable ASCII without what could start a special token or a contraction
 _PLAIN, _RUNS = re.compile(rb"[!-&(-;=-{}~]+"), re.compile(rb"[a-z]+|[0-9]|[^a-z0-9]+")
+# a mark at the end of a word, after a letter (ASCII, or U+00C0 to U+00FF) that it is parted from
+_LAST_MARK = re.compile(rb"[.,!?;:](?=\s|\Z)(?:(?<=[a-z].)|(?<=\xc3[\x80-\x96\x98-\xb6\xb8-\xbf].))")
 
 
 class _Words(dict):
@@ -58,7 +61,9 @@ class Encoder:
             library.no_truncation()
             library.no_padding()
             self.merges = library.model
-            self.bytes = ByteLevel(add_prefix_space=False, use_regex=False)
+            level = ByteLevel(add_prefix_space=False, use_regex=False)
+            # names of the bytes of the letters that _run takes
+            self.names = {c: "".join(p for p, _ in level.pre_tokenize_str(chr(c))) for c in range(0x80, 0x250)}
             self.library = lambda texts: [
                 e.ids for e in library.encode_batch_fast(texts, add_special_tokens=False)
             ]
@@ -88,19 +93,30 @@ class Encoder:
         text = run.decode()
         low = text.lower()
         # Latin letters in composed form: the same, and bytes beyond ASCII have names of their own
-        if low.isalpha() and max(text) < "\u0250" and is_normalized("NFC", text):
-            return self._merged("".join([p for p, _ in self.bytes.pre_tokenize_str(low)]))
+        if low.isalpha() and max(low) < "\u0250" and max(text) < "\u0250" and is_normalized("NFC", text):
+            return self._merged(low.translate(self.names))
         return self._ids([text])[0]
 
     def _merged(self, text: str) -> bytes:
         return array("I", [t.id for t in self.merges.tokenize(text)]).tobytes()
 
+    def _split(self, text: bytes) -> list[bytes]:
+        """Words in lower case without the mark after them, so that few are new. A special token, which starts
+        with ``<|``, is told by its case."""
+        return text.split() if b"<|" in text else _LAST_MARK.sub(rb" \g<0>", text.lower()).split()
+
     def encode(self, texts: list[bytes | None]) -> list[bytes]:
         texts = [t or b"" for t in texts]
         if not self.by_word:
             return self._ids([t.decode() for t in texts])
         ids = self.words.__getitem__
-        return [b"".join(map(ids, t.split())) for t in texts]
+        return [b"".join(map(ids, self._split(t))) for t in texts]
+
+
+@lru_cache(maxsize=1)
+def encoder(name: str, model: bytes, by_word: bool = False) -> Encoder:
+    """The encoder of this process: a worker's next task goes on with the words it knows."""
+    return Encoder(name, model, by_word)
 
 
 def load(path: str) -> tuple[str, bytes]:
