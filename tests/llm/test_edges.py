@@ -7,6 +7,7 @@ from itertools import combinations
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
 from brute import SCHEMA, brute_components, brute_counts, brute_fingerprint, frame
 from pyspark.sql import functions as F
@@ -614,3 +615,29 @@ def test_words_are_known_to_the_next_task_and_without_their_marks():
     coder = Encoder(*held, by_word=True)
     coder.encode([b"Thing thing, THING. thing"])
     assert set(coder.words) == {b"thing", b",", b"."}
+
+
+def test_new_words_are_encoded_together_and_case_falls_after_composition(monkeypatch):
+    """Calls of the library grow with pieces, not with words; H and U+0331 have no composed form, h and U+0331 have one."""
+    library = Tokenizer.from_file(TOKENIZER)
+    rng = np.random.default_rng(3)
+    parts = ["Abc", "H", "\u0331", "\u00c9", "\u0301", "\u00df", " ", "\n", "12", ",", ".***", "!!", "'s", "'", "<|", "<|ENDOFTEXT|>",
+             "\u65e5\u672c", "\u0130", "\u00d7", "\u00f7", "\u00fe", "=", "\u0338", "\u304b", "\u3099"]
+    texts = [None, "", " \n", "H\u0331 x", "abT\u0308.", *("".join(rng.choice(parts, rng.integers(1, 12))) for _ in range(3000))]
+    want = [e.ids for e in library.encode_batch([t or "" for t in texts], add_special_tokens=False)]
+    monkeypatch.setattr(tokenizer, "KNOWN", 50)
+    coder = Encoder(*load(TOKENIZER), by_word=True)
+    rows = pa.array([t and t.encode() for t in texts], pa.binary())
+    ids, ends = coder.flat(rows.slice(2))  # a slice, as pieces are
+    assert np.split(ids, ends[:-1])[1].tolist() == want[3] and ids.tolist() == [i for x in want[2:] for i in x]
+    got = coder.encode(rows.to_pylist())
+    assert [np.frombuffer(x, "<u4").tolist() for x in got] == want
+    assert len(coder.words) <= 50 and len(coder.words.before) <= 50
+
+    coder, calls = Encoder(*load(TOKENIZER), by_word=True), []
+    monkeypatch.setattr(coder, "_merged", lambda text: pytest.fail("a word by itself"))
+    whole = coder._letters
+    monkeypatch.setattr(coder, "_letters", lambda words: calls.append(len(words)) or whole(words))
+    words = ["".join(rng.choice(list("abc\u00e9"), 9)) for _ in range(6000)]
+    coder.encode([f"{w}, {w.upper()}!!".encode() for w in words])
+    assert len(calls) == 2 and sum(calls) == len(set(words))

@@ -15,7 +15,7 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import map_rows, store, values
+from tidemark.llm.common import map_rows, store
 from tidemark.llm.tokenizer import encoder, load, pieces, version
 
 SCHEMA = "digest binary, n_tokens long, tokenizer string"
@@ -84,11 +84,11 @@ def count_tokens(
     def work(batches):
         coder = encoder(*held.value, by_word)
         for batch in batches:
-            texts, counts = values(batch.column("text")), []
+            texts, counts = batch.column("text"), [np.zeros(0, np.int64)]
             for cut in pieces(texts):
-                counts += [len(x) // 4 for x in coder.encode(texts[cut])]
+                counts.append(np.diff(coder.flat(texts.slice(cut.start, cut.stop - cut.start))[1], prepend=0))
             yield pa.RecordBatch.from_arrays(
-                [batch.column("digest"), pa.array(np.array(counts, np.int64))], ["digest", "n_tokens"])
+                [batch.column("digest"), pa.array(np.concatenate(counts))], ["digest", "n_tokens"])
 
     fresh = map_rows(misses, "digest binary, n_tokens long", work).withColumn("tokenizer", F.lit(tag))
     fresh.write.mode("append").partitionBy("tokenizer").parquet(cache)

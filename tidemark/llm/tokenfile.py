@@ -14,7 +14,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import keyed, map_rows, slices, values
+from tidemark.llm.common import keyed, map_rows, slices
 from tidemark.llm.tokenizer import encoder, load, pieces
 
 SCHEMA = "doc_id long, part int, offset long, n_tokens long, ids array<int>"
@@ -34,19 +34,19 @@ def write_tokens(
     held = docs.sparkSession.sparkContext.broadcast(load(tokenizer))
     rows = keyed(docs).repartitionByRange("ord", "th").sortWithinPartitions("ord", "th")
     rows = rows.select("doc_id", F.spark_partition_id().alias("part"), F.col("text").cast("binary").alias("text"))
-    last = np.array([] if end_id is None else [end_id], "<u4").tobytes()
 
     def work(batches):
         coder, offset = encoder(*held.value, by_word), 0
-        for batch in slices(batches):
-            texts = values(batch.column("text"))
-            for cut in pieces(texts):
-                ids = [x + last for x in coder.encode(texts[cut])]
-                n = np.array([len(x) // 4 for x in ids], np.int64)
-                ends = np.cumsum(n)
-                flat = pa.array(np.frombuffer(b"".join(ids), "<u4").astype(np.int32))
-                lists = pa.ListArray.from_arrays(pa.array(np.concatenate(([0], ends)).astype(np.int32)), flat)
+        for batch in batches:
+            for cut in pieces(batch.column("text")):
                 few = batch.slice(cut.start, cut.stop - cut.start)
+                ids, ends = coder.flat(few.column("text"))
+                if end_id is not None:
+                    ids = np.insert(ids, ends, end_id)
+                    ends = ends + np.arange(1, len(ends) + 1)
+                n = np.diff(ends, prepend=0)
+                lists = pa.ListArray.from_arrays(
+                    pa.array(np.concatenate(([0], ends)).astype(np.int32)), pa.array(ids.view(np.int32)))
                 yield pa.RecordBatch.from_arrays(
                     [few.column("doc_id"), few.column("part"), pa.array(offset + ends - n), pa.array(n), lists],
                     ["doc_id", "part", "offset", "n_tokens", "ids"],
