@@ -641,3 +641,12 @@ def test_new_words_are_encoded_together_and_case_falls_after_composition(monkeyp
     words = ["".join(rng.choice(list("abc\u00e9"), 9)) for _ in range(6000)]
     coder.encode([f"{w}, {w.upper()}!!".encode() for w in words])
     assert len(calls) == 2 and sum(calls) == len(set(words))
+
+
+def test_workers_remember_little():
+    """An executor keeps a worker per core, each with an encoder that stays between tasks."""
+    coder = Encoder(*load(TOKENIZER), by_word=True)
+    for at in range(0, 400_000, 10_000):
+        coder.encode([" ".join("x" + "".join("abcdefghij"[int(d)] for d in f"{n:06}") for n in range(at, at + 10_000)).encode()])
+    assert len(coder.words) + len(coder.words.before) <= 200_000
+    assert [c.stop - c.start for c in tokenizer.pieces(pa.array([b"x" * (1 << 20)] * 5, pa.binary()))] == [2, 2, 1]

@@ -15,7 +15,7 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 
-KNOWN = 300_000  # words of a generation; a worker remembers two, about 120 MB
+KNOWN = 100_000  # words of a generation; a worker remembers two, about 40 MB
 LONGEST = 64  # longer words are not remembered
 TAIL = b".,!?;:"
 # printable ASCII without what could start a special token or a contraction
@@ -257,7 +257,7 @@ def version(name: str, model: bytes) -> str:
     return hashlib.sha256(name.encode() + b"\0" + model).hexdigest()
 
 
-def pieces(texts: pa.BinaryArray, limit: int = 4 << 20):
+def pieces(texts: pa.BinaryArray, limit: int = 2 << 20):
     """Slices of an array of texts with at most about ``limit`` bytes each, one text at least."""
     start = size = 0
     for at, more in enumerate(pc.binary_length(texts).fill_null(0).to_numpy(zero_copy_only=False).tolist()):
